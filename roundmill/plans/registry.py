@@ -2,16 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from roundmill.plans.core_queries import oracle_sql, queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-from roundmill.plans import core_queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(core_queries.queries())
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]
