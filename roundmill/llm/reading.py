@@ -25,7 +25,7 @@ LEVELS = 4
 LEAST_WORDS = 40
 LABELLED_ROWS = 4000  # the model is fitted on about this many labelled documents, drawn by a hash of doc_id
 _WORD = re.compile(r"[^\W\d_]+")
-_END = re.compile(r"[^.!?\s][^.!?\n]*[.!?]+[\"”’')\]]*(?=\s|$)|[^\n]*[^.!?\s\n][^.!?\n]*(?=\n|$)")
+_END = re.compile(r"[.!?]+[\"”’')\]]*(?:\s|$)")
 # Function words of English, and of languages it is told from.
 ENGLISH = frozenset("the of and to in a is for that its has with by from as are it on will at was which an be this have or not but they their were had who when".split())
 OTHERS = frozenset("der die das und ein eine einen im mit nach für dem den el la los las un una con del y le les et des du dans pour este se por al sur au aux trotz pese".split())
@@ -42,7 +42,7 @@ def is_english(words: list[str]) -> bool:
 
 def sentence_count(text: str) -> int:
     """Sentences end at a full stop, question or exclamation mark before white space, lines without one at their end."""
-    return max(1, sum(1 for _ in _END.finditer(text)))
+    return max(1, sum(1 for line in text.splitlines() for part in _END.split(line) if part and not part.isspace()))
 
 
 def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
