@@ -25,6 +25,7 @@ from roundmill.runtime import broadcast_if_small, collect_bounded, cut
 WORDS = 15  # running words that make a leak
 CHANGED = 8  # about one word in so many may be changed
 RARE_ITEMS = 2  # a term in at most so many items marks an item
+COMMON_TIMES = 10  # a mark this many times as frequent as the item's median mark proposes no places
 DRIFT = 6  # words by which inserted or lost words may shift the rest
 MAX_ITEM_ROWS = 200_000  # held-out items kept in memory at once; more are worked off in blocks
 MAX_CANDIDATES = 2_000_000
@@ -54,6 +55,19 @@ def index_terms(items: dict[int, list[str]]) -> set[str]:
     return {w for w, n in frequency.items() if n <= max(RARE_ITEMS, len(items) // 100) and len(w) > 2}
 
 
+def rarest_positions(items: dict[int, list[str]], marks: set[str], frequency: dict[str, int]) -> dict[int, list[int]]:
+    """Positions of the marks that propose places: those about as rare in the corpus as the item's rarer marks. Marks that
+    are ordinary words elsewhere (towns, round numbers) only confirm. An item that leaked everywhere keeps its marks,
+    since they are then all as frequent."""
+    out = {}
+    for item, words in items.items():
+        own = [p for p, w in enumerate(words) if w in marks]
+        counts = sorted(frequency.get(words[p], 0) for p in own)
+        limit = max(10, COMMON_TIMES * counts[len(counts) // 2]) if counts else 0
+        out[item] = [p for p in own if frequency.get(words[p], 0) <= limit]
+    return out
+
+
 def longest_passage(item: list[str], doc: list[str], shift: int, marks: set[str], drift: int = DRIFT) -> int:
     """Item words of the best passage near the given offset: equal words count 1, changed ones cost 3. The passage
     must hold a name that marks the item, or two numbers that do; 0 if there is none."""
@@ -127,8 +141,10 @@ def _leaks_of_block(documents: DataFrame, part: DataFrame, least: int) -> DataFr
                 found += [w for _, w in hits]
             yield pd.DataFrame({"term": found, "doc_id": ids, "pos": at})
 
-    postings = texts.mapInPandas(post, "term string, doc_id long, pos int")
-    of_items = spark.createDataFrame([(w, i, p) for i, ws in items.items() for p, w in enumerate(ws) if w in marks], "term string, item_id long, item_pos int")
+    postings = cut(texts.mapInPandas(post, "term string, doc_id long, pos int"))
+    frequency = {r["term"]: r["n"] for r in collect_bounded(postings.groupBy("term").agg(F.count("*").alias("n")), len(marks), "terms that mark items")}
+    rows = [(items[i][p], i, p) for i, positions in rarest_positions(items, marks, frequency).items() for p in positions]
+    of_items = spark.createDataFrame(rows, "term string, item_id long, item_pos int")
     # the items' positions are bounded by the block, so each posting meets them where it lies
     places = postings.join(broadcast_if_small(of_items, 50 * MAX_ITEM_ROWS), "term").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
     candidates = cut(places.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "offset")).alias("places")))  # bounded per document by its words
