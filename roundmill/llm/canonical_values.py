@@ -22,6 +22,7 @@ from roundmill.runtime import broadcast_if_small
 
 MAX_DICTIONARY_ROWS = 500_000  # the delete dictionary is broadcast up to this size and shuffled beyond it
 LONG = 12  # phrases from this length on may differ by two edits, shorter ones by one
+LONGEST = 40  # phrases beyond this length must match exactly
 SHORT = 4  # phrases below this length must match exactly
 OWN_NAME_TIMES, OWN_NAME_LEAST = 4, 30
 
@@ -59,7 +60,7 @@ def runs_of(text: str) -> set[str]:
 
 
 def allowed_edits(length: int) -> int:
-    return 0 if length < SHORT else 1 if length < LONG else 2
+    return 0 if length < SHORT or length > LONGEST else 1 if length < LONG else 2
 
 
 def delete_keys(phrase: str) -> set[str]:

@@ -9,13 +9,14 @@ million times costs no pairs.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,10 +50,6 @@ def signature(items: np.ndarray, size: int) -> np.ndarray:
     return ((mixed[None, :] * _A[:size, None] + _B[:size, None]) >> np.uint64(32)).min(1).astype(np.uint32)
 
 
-def band_keys(sig: np.ndarray, bands: int, rows: int, prefix: str) -> list[str]:
-    return [f"{prefix}{b}:{sig[b * rows : (b + 1) * rows].tobytes().hex()}" for b in range(bands)]
-
-
 def page_hashes(text: str, cache: dict[str, int]) -> np.ndarray:
     """Hashes of the five-word shingles of the report's lines; of the whole text if all lines are short."""
     lines = [x.lower().split() for x in text.split("\n")]
@@ -75,94 +72,92 @@ def page_hashes(text: str, cache: dict[str, int]) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def _band_longs(sig: np.ndarray, bands: int, rows: int) -> list[int]:
+    """One signed 64-bit key per band."""
+    return [int.from_bytes(hashlib.blake2b(bytes([b]) + sig[b * rows : (b + 1) * rows].tobytes(), digest_size=8).digest(), "little", signed=True) for b in range(bands)]
+
+
 def _page_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cache: dict[str, int] = {}
     for batch in batches:
         if len(cache) > 500_000:
             cache.clear()
-        keys, sigs = [], []
+        bands, sigs = [], []
         for text in batch["text"]:
             if text and not text.isspace():
                 sig = signature(page_hashes(text, cache), PAGE_BANDS * PAGE_ROWS)
-                keys.append(band_keys(sig, PAGE_BANDS, PAGE_ROWS, "b"))
+                bands.append(_band_longs(sig, PAGE_BANDS, PAGE_ROWS))
                 sigs.append(sig.tobytes())
             else:
-                keys.append([])
-                sigs.append(b"")
-        yield pd.DataFrame({"id": batch["fetch_id"], "batch_no": batch["batch_no"], "url": batch["url"], "title": batch["title"], "bands": keys, "sig": sigs})
+                bands.append([])
+                sigs.append(None)
+        yield pd.DataFrame({"id": batch["fetch_id"], "batch_no": batch["batch_no"], "url": batch["url"], "title": batch["title"], "bands": bands, "sig": sigs})
+
+
+#: What is kept of a record: its exact keys, its band keys, and what verifies a hit.
+RECORD = "id long, batch_no int, exact array<bigint>, bands array<bigint>, sig binary, core string, type string, day int, usd double, raw string, recorded double"
+
 
+def _records(df: DataFrame, **columns) -> DataFrame:  # noqa: ANN003
+    names = [c.split(" ") for c in RECORD.split(", ")]
+    return df.select(*[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in names])
 
-def page_entries(articles: DataFrame) -> DataFrame:
-    """(kind, id, batch_no, key, exact, payload) of each page. Exact keys are its address in one form, and its number
-    on its site together with its title."""
+
+def page_records(articles: DataFrame) -> DataFrame:
+    """Pages as records. Exact keys are the address in one form, and the page's number on its site with its title."""
     read = articles.select("fetch_id", "batch_no", "url", "title", "text").where("fetch_id is not null and batch_no is not null")
-    sig = read.mapInPandas(_page_signatures, "id long, batch_no int, url string, title string, bands array<string>, sig binary")
+    sig = read.mapInPandas(_page_signatures, "id long, batch_no int, url string, title string, bands array<bigint>, sig binary")
     address = canonical_url(F.col("url"))
-    number = F.concat_ws("|", page_number(address), F.lower(F.col("title")))
-    exact = F.array(F.struct(F.concat(F.lit("u:"), address).alias("key"), F.lit(True).alias("exact")), F.struct(F.when(page_number(address).isNotNull() & F.col("title").isNotNull(), F.concat(F.lit("n:"), number)).alias("key"), F.lit(True).alias("exact")))
-    bands = F.transform("bands", lambda b: F.struct(b.alias("key"), F.lit(False).alias("exact")))
-    rows = sig.select(F.lit("article").alias("kind"), "id", "batch_no", F.explode(F.concat(exact, bands)).alias("k"), "sig")
-    nothing = F.lit(None)
-    payload = F.struct(F.when(~F.col("k.exact"), F.col("sig")).alias("sig"), nothing.cast("string").alias("core"), nothing.cast("string").alias("type"), nothing.cast("int").alias("day"), nothing.cast("double").alias("usd"), nothing.cast("string").alias("raw"))
-    return rows.where("k.key is not null").select("kind", "id", "batch_no", "k.key", "k.exact", F.lit(None).cast("string").alias("probe_key"), payload.alias("payload"))
+    number = F.when(page_number(address).isNotNull() & F.col("title").isNotNull(), F.xxhash64(F.lit("n"), page_number(address), F.lower("title")))
+    exact = F.filter(F.array(F.when(address.isNotNull(), F.xxhash64(F.lit("u"), address)), number), lambda k: k.isNotNull())
+    return _records(sig, id=F.col("id"), batch_no=F.col("batch_no"), exact=exact, bands=F.col("bands"), sig=F.col("sig"))
 
 
-def _name_bands(name: str) -> tuple[str, str, list[str]]:
+def _name_bands(name: str) -> tuple[str, str, list[int]]:
     core, kind = parts_of(name)
     sound = sound_of(core)
     padded = f"^{sound}$"
     hashes = np.array([_word_hash(padded[i : i + 2]) for i in range(len(padded) - 1)], np.uint64)
-    return sound, kind, band_keys(signature(np.unique(hashes), NAME_BANDS * NAME_ROWS), NAME_BANDS, NAME_ROWS, "c")
+    return sound, kind, _band_longs(signature(np.unique(hashes), NAME_BANDS * NAME_ROWS), NAME_BANDS, NAME_ROWS)
 
 
-@F.pandas_udf(T.StructType([T.StructField("core", T.StringType()), T.StructField("type", T.StringType()), T.StructField("bands", T.ArrayType(T.StringType()))]))
+@F.pandas_udf(T.StructType([T.StructField("core", T.StringType()), T.StructField("type", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
 def _name_signature(name: pd.Series) -> pd.DataFrame:
     rows = [_name_bands(x) if x else (None, None, []) for x in name]
     return pd.DataFrame(rows, columns=["core", "type", "bands"])
 
 
-def round_entries(rounds: DataFrame, rates: DataFrame) -> DataFrame:
-    """(kind, id, batch_no, key, exact, probe_key, payload) of each deal: its id, and the bands of its company's name together with
-    its day (four days to a bucket) or, for records without a day on either side, with the size of its sum.
-
-    ``key`` is what the index keeps, ``probe_key`` what a new record asks for; one of them is null.
-    """
+def round_records(rounds: DataFrame, rates: DataFrame) -> DataFrame:
+    """Deals as records. The exact key is the deal's id; the bands are those of the letter pairs of its company's name,
+    made once per distinct name."""
     usd = convert_units(rounds, rates).select("record_id", "usd").dropDuplicates(["record_id"])
-    base = rounds.where("record_id is not null and batch_no is not null").select("record_id", "batch_no", "round_id", "company_name", F.unix_date("announced_on").alias("day"), F.concat_ws(" ", F.col("amount").cast("string"), F.coalesce(F.upper("currency"), F.lit(""))).alias("raw"), F.col("amount").isNotNull().alias("has_raw"))
-    # signatures once per distinct name
+    raw = F.when(F.col("amount").isNotNull(), F.concat_ws(" ", F.col("amount").cast("string"), F.coalesce(F.upper("currency"), F.lit(""))))
+    base = rounds.where("record_id is not null and batch_no is not null").select("record_id", "batch_no", "round_id", "company_name", F.unix_date("announced_on").alias("day"), raw.alias("raw"), F.when(F.col("amount_usd") > 0, F.col("amount_usd")).alias("recorded"))
     names = base.select("company_name").where("company_name is not null").distinct().withColumn("p", _name_signature("company_name"))
-    full = base.join(usd, "record_id", "left").join(names, "company_name", "left").select("record_id", "batch_no", "round_id", "day", "usd", F.when(F.col("has_raw"), F.col("raw")).alias("raw"), F.col("p.core").alias("core"), F.col("p.type").alias("type"), F.coalesce("p.bands", F.array().cast("array<string>")).alias("bands"))
-    week = F.floor(F.col("day") / (DAYS + 1)).cast("string")
-    size = F.floor(F.ln("usd") / 0.11)
-    near = lambda c: F.array(c - 1, c, c + 1)
+    full = base.join(usd, "record_id", "left").join(names, "company_name", "left")
+    exact = F.when(F.col("round_id").isNotNull(), F.array(F.xxhash64(F.lit("i"), "round_id"))).otherwise(F.array())
+    some = {n: F.col(n) for n in ("batch_no", "day", "usd", "raw", "recorded")}
+    return _records(full, id=F.col("record_id"), exact=exact, bands=F.coalesce("p.bands", F.array().cast("array<bigint>")), core=F.col("p.core"), type=F.col("p.type"), **some)
+
+
+def _deal_keys() -> tuple[Column, Column]:
+    """(kept, asked) keys of a deal's bands: with its day, four days to a bucket, and with the size of its sum for pairs in which
+    a day is missing. The three buckets around its own are asked for."""
     has_day, has_sum = F.col("day").isNotNull(), F.col("usd") > 0
-    key = lambda b, mark, at: F.concat_ws("|", b, F.lit(mark), at.cast("string"))
-    entry = lambda k, p, e: F.struct(k.cast("string").alias("key"), p.cast("string").alias("probe_key"), F.lit(e).alias("exact"))
-    none = F.lit(None).cast("string")
-    empty = F.array().cast("array<struct<key:string,probe_key:string,exact:boolean>>")
-
-    def per_band(b):  # noqa: ANN001, ANN202
-        kept = F.array(
-            entry(F.when(has_day, key(b, "d", week)), none, False),
-            entry(F.when(has_sum, F.when(has_day, key(b, "A", size)).otherwise(key(b, "a", size))), none, False),
-        )
-        by_day = F.when(has_day, F.transform(near(F.floor(F.col("day") / (DAYS + 1))), lambda w: entry(none, key(b, "d", w), False))).otherwise(empty)
-        by_sum = F.when(has_sum, F.transform(near(size), lambda w: entry(none, key(b, "a", w), False))).otherwise(empty)
-        by_dated_sum = F.when(has_sum & ~has_day, F.transform(near(size), lambda w: entry(none, key(b, "A", w), False))).otherwise(empty)
-        return F.concat(kept, by_day, by_sum, by_dated_sum)
-
-    exact = F.concat(F.lit("i:"), F.col("round_id"))
-    keys = F.concat(F.array(entry(exact, none, True), entry(none, exact, True)), F.flatten(F.transform("bands", per_band)))
-    rows = full.select(F.lit("round").alias("kind"), F.col("record_id").alias("id"), "batch_no", F.explode(keys).alias("k"), "core", "type", "day", "usd", "raw").where("k.key is not null or k.probe_key is not null")
-    # records of the first batch only fill the index
-    rows = rows.where("k.key is not null or batch_no > 0")
-    payload = F.struct(F.lit(None).cast("binary").alias("sig"), F.col("core"), F.col("type"), F.col("day"), F.col("usd"), F.col("raw"))
-    return rows.select("kind", "id", "batch_no", "k.key", "k.exact", "k.probe_key", payload.alias("payload"))
+    week, size = F.floor(F.col("day") / (DAYS + 1)), F.floor(F.ln("usd") / 0.11)
+    none = F.array().cast("array<bigint>")
+    near = lambda mark, at: F.array(*[F.struct(F.lit(mark).alias("m"), (at + s).alias("at")) for s in (-1, 0, 1)])
+    one = lambda mark, at: F.array(F.struct(F.lit(mark).alias("m"), at.alias("at")))
+    slots = F.array().cast("array<struct<m:string,at:bigint>>")
+    kept = F.concat(F.when(has_day, one("d", week)).otherwise(slots), F.when(has_sum & has_day, one("A", size)).when(has_sum, one("a", size)).otherwise(slots))
+    asked = F.concat(F.when(has_day, near("d", week)).otherwise(slots), F.when(has_sum, near("a", size)).otherwise(slots), F.when(has_sum & ~has_day, near("A", size)).otherwise(slots))
+    cross = lambda part: F.coalesce(F.flatten(F.transform("bands", lambda b: F.transform(part, lambda s: F.xxhash64(b, s["m"], s["at"])))), none)
+    return cross(kept), cross(asked)
 
 
 @F.pandas_udf(T.DoubleType())
 def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([0.0 if not x or not y else float((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).mean()) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([0.0 if x is None or y is None else float((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).mean()) for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(T.IntegerType())
@@ -171,51 +166,57 @@ def _name_edits(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 class History:
-    """The persisted index of one kind of record, in a folder all executors share."""
+    """The persisted index of one kind of record, in a folder all executors share: band keys by the hash of the key,
+    signatures and other marks of the records by the hash of the id."""
 
     def __init__(self, spark: SparkSession, kind: str, path: str | None = None) -> None:
         self.spark, self.kind = spark, kind
         self.path = path or f"{checkpoint_dir(spark)}/history-{kind}-{uuid.uuid4().hex}"
         self.parts = 0
 
-    def append(self, entries: DataFrame) -> None:
-        """Add the keys of accepted records: the earliest record per key and content, stored by the key's hash."""
-        kept = entries.where("key is not null").select("batch_no", "id", "key", "exact", "payload")
-        content = F.when(F.col("exact"), F.lit(0)).otherwise(F.xxhash64("payload.sig", "payload.core", "payload.type", "payload.day", "payload.usd", "payload.raw"))
-        first = kept.groupBy("key", "exact", content.alias("content")).agg(F.min(F.struct("batch_no", "id")).alias("first"), F.first("payload").alias("payload"))
-        rows = first.select("key", "exact", "first.batch_no", "first.id", "payload", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket"))
-        rows.write.mode("append").partitionBy("bucket").parquet(self.path)
+    def _keys(self, records: DataFrame, asked: bool) -> DataFrame:
+        own = F.col("bands") if self.kind == "article" else _deal_keys()[asked]
+        tagged = F.concat(F.transform("exact", lambda k: F.struct(k.alias("key"), F.lit(True).alias("exact"))), F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(False).alias("exact"))))
+        content = F.xxhash64("sig", "core", "type", "day", "usd", "raw", "recorded")
+        rows = records.select("batch_no", "id", content.alias("content"), F.explode(tagged).alias("k"))
+        return rows.select("batch_no", "id", F.when(F.col("k.exact"), F.lit(0).cast("bigint")).otherwise(F.col("content")).alias("content"), "k.key", "k.exact").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
+
+    def append(self, records: DataFrame) -> None:
+        """Add accepted records. Of records with one key and one content only the earliest is entered under it."""
+        marks = [c.split(" ")[0] for c in RECORD.split(", ") if c.split(" ")[0] not in ("exact", "bands", "batch_no")]
+        records.select(*marks).write.mode("append").parquet(f"{self.path}/records")
+        first = self._keys(records, False).groupBy("bucket", "key", "exact", "content").agg(F.min(F.struct("batch_no", "id")).alias("f"))
+        first.select("bucket", "key", "exact", "f.batch_no", "f.id").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
         self.parts += 1
 
-    def probe(self, entries: DataFrame) -> DataFrame:
+    def probe(self, records: DataFrame) -> DataFrame:
         """(first_id, second_id) of the records that repeat one of an earlier batch; the earliest such record counts."""
         if not self.parts:
             return self.spark.createDataFrame([], "first_id long, second_id long")
-        key = F.coalesce("probe_key", "key") if self.kind == "article" else F.col("probe_key")
-        asked = entries.where("batch_no > 0").select(key.alias("key"), F.col("id").alias("second_id"), F.col("batch_no").alias("now"), F.col("payload").alias("q")).where("key is not null").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
-        index = self.spark.read.parquet(self.path)
-        hits = index.join(asked, ["bucket", "key"]).where("batch_no < now and id <> second_id")
-        sure = hits.where("exact").select("batch_no", "id", "second_id")
-        loose = hits.where("not exact").select("batch_no", "id", "second_id", "payload", "q")
-        fit = self._pages(loose) if self.kind == "article" else self._deals(loose)
-        return sure.unionByName(fit).groupBy("second_id").agg(F.min(F.struct("batch_no", "id")).alias("m")).select(F.col("m.id").alias("first_id"), "second_id")
-
-    @staticmethod
-    def _pages(loose: DataFrame) -> DataFrame:
-        pairs = loose.groupBy("batch_no", "id", "second_id").agg(F.first("payload.sig").alias("a"), F.first("q.sig").alias("b"))
-        return pairs.where(_likeness("a", "b") >= SIMILAR).select("batch_no", "id", "second_id")
+        new = records.where("batch_no > 0")
+        asked = self._keys(new, True).select("bucket", "key", F.col("batch_no").alias("now"), F.col("id").alias("second_id"))
+        hits = self.spark.read.parquet(f"{self.path}/keys").join(asked, ["bucket", "key"]).where("batch_no < now and id <> second_id")
+        pairs = hits.groupBy("batch_no", "id", "second_id").agg(F.max("exact").alias("exact"))
+        marks = ["sig", "core", "type", "day", "usd", "raw", "recorded"]
+        known = self.spark.read.parquet(f"{self.path}/records").select("id", F.struct(*marks).alias("p"))
+        both = cut(pairs).join(known, "id").join(new.select(F.col("id").alias("second_id"), F.struct(*marks).alias("q")), "second_id")
+        sure = both.where("exact").select("batch_no", "id", "second_id")
+        loose = both.where("not exact")
+        fit = loose.where(_likeness("p.sig", "q.sig") >= SIMILAR) if self.kind == "article" else loose.where(self._deals()).where(_name_edits("p.core", "q.core") <= 1)
+        found = sure.unionByName(fit.select("batch_no", "id", "second_id"))
+        return found.groupBy("second_id").agg(F.min(F.struct("batch_no", "id")).alias("m")).select(F.col("m.id").alias("first_id"), "second_id")
 
     @staticmethod
-    def _deals(loose: DataFrame) -> DataFrame:
-        p, q = (lambda c: F.col(f"payload.{c}")), (lambda c: F.col(f"q.{c}"))
+    def _deals() -> Column:
+        p, q = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"q.{c}"))
         no_day = p("day").isNull() | q("day").isNull()
         no_sum = p("usd").isNull() | q("usd").isNull()
-        near_day = F.abs(p("day") - q("day")) <= DAYS
-        near_sum = F.abs(p("usd") - q("usd")) <= PERCENT * F.greatest(p("usd"), q("usd"))
-        fits = (near_day & (no_sum | near_sum | F.coalesce(p("raw") == q("raw"), F.lit(False)))) | (no_day & near_sum)
+        near = lambda c: F.coalesce(F.abs(p(c) - q(c)) <= PERCENT * F.greatest(p(c), q(c)), F.lit(False))
+        same_raw = F.coalesce(p("raw") == q("raw"), F.lit(False))
+        near_day = F.coalesce(F.abs(p("day") - q("day")) <= DAYS, F.lit(False))
+        fits = (near_day & (no_sum | near("usd") | same_raw | near("recorded"))) | (no_day & near("usd"))
         kind = (p("type") == q("type")) | ((p("core") == q("core")) & ((p("type") == "") | (q("type") == "")))
-        pairs = loose.where(fits & kind).select("batch_no", "id", "second_id", p("core").alias("a"), q("core").alias("b")).distinct()
-        return pairs.where(_name_edits("a", "b") <= 1).select("batch_no", "id", "second_id")
+        return fits & kind
 
 
 def first_of_all(pairs: DataFrame, hops: int = 2) -> DataFrame:
@@ -227,22 +228,20 @@ def first_of_all(pairs: DataFrame, hops: int = 2) -> DataFrame:
     return pairs
 
 
-def repeats(entries: DataFrame, kind: str) -> DataFrame:
+def repeats(records: DataFrame, kind: str) -> DataFrame:
     """(kind, first_id, second_id) of all records of batch 1 and later that repeat one of an earlier batch.
 
     All batches are replayed at once: their keys go into one persisted index that keeps the batch of every entry,
     and each record meets only entries of earlier batches. The result equals that of batch after batch.
     Records without id or batch are left out; an empty table gives no row.
     """
-    history = History(entries.sparkSession, kind)
-    stored = f"{history.path}-entries"
-    entries.write.parquet(stored)
-    entries = entries.sparkSession.read.parquet(stored)
-    history.append(entries)
-    found = first_of_all(history.probe(entries))
-    return found.select(F.lit(kind).alias("kind"), "first_id", "second_id")
+    history = History(records.sparkSession, kind)
+    records.write.parquet(f"{history.path}/read")
+    stored = records.sparkSession.read.schema(RECORD).parquet(f"{history.path}/read")
+    history.append(stored)
+    return first_of_all(history.probe(stored)).select(F.lit(kind).alias("kind"), "first_id", "second_id")
 
 
 def repeated_records(articles: DataFrame, rounds: DataFrame, rates: DataFrame) -> DataFrame:
     """Repeated pages and deals together."""
-    return repeats(page_entries(articles), "article").unionByName(repeats(round_entries(rounds, rates), "round"))
+    return repeats(page_records(articles), "article").unionByName(repeats(round_records(rounds, rates), "round"))

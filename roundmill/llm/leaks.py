@@ -28,7 +28,7 @@ RARE_ITEMS = 2  # a term in at most so many items marks an item
 COMMON_TIMES = 10  # a mark this many times as frequent as the item's median mark proposes no places
 DRIFT = 6  # words by which inserted or lost words may shift the rest
 MAX_ITEM_ROWS = 200_000  # held-out items kept in memory at once; more are worked off in blocks
-MAX_CANDIDATES = 2_000_000
+MAX_CANDIDATES = 300_000  # documents whose places are broadcast to the second read of the texts; more are joined by a shuffle behind a Bloom filter
 
 _INLINE = re.compile(r"</?(?:b|i|em|strong|span|a|u|s|mark|sup|sub|font|code)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[/!a-zA-Z][^<>]*>")
