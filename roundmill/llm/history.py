@@ -96,6 +96,7 @@ def _page_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 #: What is kept of a record: its exact keys, its band keys, and what verifies a hit.
 RECORD = "id long, batch_no int, exact array<bigint>, bands array<bigint>, sig binary, core string, type string, day int, usd double, raw string, recorded double"
+KEY = "key bigint, exact boolean, batch_no int, id long, bucket int"
 
 
 def _records(df: DataFrame, **columns) -> DataFrame:  # noqa: ANN003
@@ -195,10 +196,10 @@ class History:
             return self.spark.createDataFrame([], "first_id long, second_id long")
         new = records.where("batch_no > 0")
         asked = self._keys(new, True).select("bucket", "key", F.col("batch_no").alias("now"), F.col("id").alias("second_id"))
-        hits = self.spark.read.parquet(f"{self.path}/keys").join(asked, ["bucket", "key"]).where("batch_no < now and id <> second_id")
+        hits = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").join(asked, ["bucket", "key"]).where("batch_no < now and id <> second_id")
         pairs = hits.groupBy("batch_no", "id", "second_id").agg(F.max("exact").alias("exact"))
         marks = ["sig", "core", "type", "day", "usd", "raw", "recorded"]
-        known = self.spark.read.parquet(f"{self.path}/records").select("id", F.struct(*marks).alias("p"))
+        known = self.spark.read.schema(RECORD).parquet(f"{self.path}/records").select("id", F.struct(*marks).alias("p"))
         both = cut(pairs).join(known, "id").join(new.select(F.col("id").alias("second_id"), F.struct(*marks).alias("q")), "second_id")
         sure = both.where("exact").select("batch_no", "id", "second_id")
         loose = both.where("not exact")

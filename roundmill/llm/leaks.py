@@ -139,7 +139,7 @@ def _leaks_of_block(documents: DataFrame, part: DataFrame, least: int) -> DataFr
                 ids += [doc_id] * len(hits)
                 at += [p for p, _ in hits]
                 found += [w for _, w in hits]
-            yield pd.DataFrame({"term": found, "doc_id": ids, "pos": at})
+            yield pd.DataFrame({"term": pd.Series(found, dtype=object), "doc_id": pd.Series(ids, dtype="int64"), "pos": pd.Series(at, dtype="int64")})  # a batch may hold none
 
     postings = cut(texts.mapInPandas(post, "term string, doc_id long, pos int"))
     frequency = {r["term"]: r["n"] for r in collect_bounded(postings.groupBy("term").agg(F.count("*").alias("n")), len(marks), "terms that mark items")}

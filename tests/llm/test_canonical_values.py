@@ -38,7 +38,7 @@ def tables(rows):
 
 
 PINS = {
-    "B'lore": "Bengaluru", "BLR": "Bengaluru", "blr, Karnataka": "Bengaluru", "Bengalruu": "Bengaluru", "MG Road, Nagpur": "Nagpur", "Nagaur": "unmatched", "Nágpur ": "Nagpur", "  new  DELHI": "New Delhi", "Thiruvananathpurm": "Thiruvananthapuram",
+    "B'lore": "Bengaluru", "BLR": "Bengaluru", "blr, Karnataka": "Bengaluru", "Bengalruu": "Bengaluru", "MG Road, Nagpur": "Nagpur", "Nagaur": "unmatched", "Nágpur ": "Nagpur", "  new  DELHI": "New Delhi", "Thiruvananhtapurm": "Thiruvananthapuram",
     "Maharashtra": "unmatched", "": "unmatched", "-": "unmatched", "Greater Bengaluru (HQ)": "Bengaluru", "Patan": "Patna", "maa": "Chennai", "Remote": "unmatched", "x" * 3000: "unmatched",
 }
 
