@@ -32,7 +32,9 @@ def sanitize_payload(json_text: Column) -> Column:
     typed, in lower case), confidence within 0..1 and 0 where it is no number. Bad JSON gives a null struct."""
     blank = lambda c: F.nullif(F.nullif(c, F.lit("")), F.lit("null"))
     text = {k: blank(F.get_json_object(json_text, f"$.{k}")) for k in _TEXTS}
-    number = {k: F.nullif(F.regexp_replace(blank(F.get_json_object(json_text, f"$.{k}")), r"[^\d.\-eE+]", ""), F.lit("")).try_cast("double") for k in _NUMBERS}
+    shown = {k: blank(F.get_json_object(json_text, f"$.{k}")) for k in _NUMBERS}
+    number = {k: F.coalesce(v.try_cast("double"), F.nullif(F.regexp_replace(v, r"[^\d.\-]", ""), F.lit("")).try_cast("double")) for k, v in shown.items()}
+    clamped = F.when(number["confidence"].isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number["confidence"])))
     investors = F.from_json(F.get_json_object(json_text, "$.investors"), "array<string>")
     one = lambda x: F.when(x.startswith("{"), F.struct(F.get_json_object(x, "$.name").alias("name"), F.coalesce(F.get_json_object(x, "$.lead").try_cast("boolean"), F.lit(False)).alias("lead"))).otherwise(F.struct(x.alias("name"), F.lit(False).alias("lead")))
     people = F.filter(F.transform(F.coalesce(investors, F.array().cast("array<string>")), one), lambda x: F.coalesce(x["name"], F.lit("")) != "")
@@ -41,6 +43,6 @@ def sanitize_payload(json_text: Column) -> Column:
         F.lower(F.trim(text["stage"])).alias("stage"), number["amount"].alias("amount"), F.upper(F.trim(text["currency"])).alias("currency"),
         number["amount_usd"].alias("amount_usd"), text["announced_on"].try_cast("date").alias("announced_on"), people.alias("investors"),
         text["location"].alias("location"), text["summary"].alias("summary"),
-        F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number["confidence"])), F.lit(0.0)).alias("confidence"),
+        clamped.alias("confidence"),
     ]
     return F.when(F.try_parse_json(json_text).isNotNull(), F.struct(*fields))

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("script style noscript nav footer header aside form iframe".split())
+INLINE = frozenset("a b i em strong span u font small mark sup sub code".split())
+CLOSING = frozenset("p li ul ol div h1 h2 h3 h4 h5 h6 blockquote table section article aside nav header footer figure form".split())
 BODY = frozenset("p li h2 h3 blockquote".split())
 
 
@@ -49,9 +51,15 @@ class _Tree(HTMLParser):
         self.close()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("p", "li") and self.here.tag == tag:
-            self.here = self.here.parent
-            self.depth -= 1
+        if tag in CLOSING:  # an open paragraph or item ends here, with the inline elements left open in it
+            ended = "li" if tag == "li" else "p"
+            for i, above in enumerate([self.here, *self.here.up()]):
+                if above.tag == ended:
+                    self.here = above.parent
+                    self.depth -= i + 1
+                    break
+                if above.tag not in INLINE:
+                    break
         node = _Node(tag, {k: v or "" for k, v in attrs}, self.here)
         self.here.parts.append(node)
         self.nodes.append(node)

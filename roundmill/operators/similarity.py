@@ -63,9 +63,9 @@ def _sorted_form(text: str) -> str:
 
 
 def _budget(length: int, threshold: float) -> int:
-    """Most edits between two strings of which the longer has this length, at the threshold."""
-    shortest_sum = length + length
-    return math.floor((1 - threshold / 100) * shortest_sum)
+    """Most edits between a string of this length and any that scores the threshold with it; the longest such partner
+    allows the most."""
+    return math.floor((100 - threshold) * (length + length * (200 - threshold) / threshold) / 100 + 1e-9)
 
 
 def _segments(length: int, threshold: float) -> list[tuple[int, int]]:
@@ -88,9 +88,9 @@ def _key_functions(threshold: float):  # noqa: ANN202
         def keys(t: str | None) -> list[str]:
             s = _sorted_form(t or "")
             out = set()
-            low, high = math.ceil(len(s) * threshold / (200 - threshold)), math.floor(len(s) * (200 - threshold) / threshold)
+            low, high = math.ceil(len(s) * threshold / (200 - threshold) - 1e-9), math.floor(len(s) * (200 - threshold) / threshold + 1e-9)
             for length in range(max(1, low), high + 1):
-                far = _budget(max(length, len(s)), threshold)
+                far = _budget(length, threshold)
                 for i, (x, y) in enumerate(_segments(length, threshold)):
                     for at in range(max(0, x - far), min(len(s) - (y - x), x + far) + 1):
                         out.add(f"{length}:{i}:{s[at : at + y - x]}")
@@ -113,7 +113,6 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, *, on: tu
     words = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
     by_word = a.select("a", *on, words(F.col("a")).alias("key")).join(b.select("b", *on, words(F.col("b")).alias("key")), ["key", *on])
     by_segment = a.select("a", *on, F.explode(probe("a")).alias("key")).join(b.select("b", *on, F.explode(index("b")).alias("key")), ["key", *on])
-    # a cheap bound before the exact score: without a common word the lengths must be close
     candidates = by_word.select("a", "b", *on).unionByName(by_segment.select("a", "b", *on)).distinct()
     return candidates.withColumn("score", token_set_score("a", "b")).where(F.col("score") >= threshold)
 
