@@ -12,7 +12,7 @@ from roundmill.functions.text import clean_company, normalize_company, normalize
 from roundmill.functions.urls import canonical_url
 from roundmill.operators import analytics, dedup, extract, html, monitoring, pages, resolve, upsert, validate
 from roundmill.operators.units import convert_units, wrong_dollars
-from roundmill.runtime import table
+from roundmill.runtime import spread, table
 from roundmill.schema import INVESTOR_ALIASES
 from roundmill.sources import sinks
 
@@ -288,7 +288,7 @@ SELECTORS = ["h1", "h2", "figcaption", "blockquote", 'meta[property="og:title"]'
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = table(spark, sf_dir, "articles", "fetch_id", "source", "html", "batch_no").where("html is not null").withColumn("m", html.selector_hits(SELECTORS)("html"))
+    counted = spread(table(spark, sf_dir, "articles", "fetch_id", "source", "html", "batch_no").where("html is not null")).withColumn("m", html.selector_hits(SELECTORS)("html"))
     return counted.select("fetch_id", "source", "batch_no", F.explode("m").alias("selector_key", "hits"))
 
 
@@ -385,7 +385,7 @@ coalesce(nullif(trim(regexp_extract(title, '(?i)^\s*([A-Z]{_W}(?:\s+[A-Z]{_W}){{
 )
 def pattern_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum, stage and company of every page by patterns."""
-    a = table(spark, sf_dir, "articles", "fetch_id", "title", "text", "published_at").withColumn("x", extract.pattern_extract(F.col("title"), F.col("text"), F.col("published_at")))
+    a = spread(table(spark, sf_dir, "articles", "fetch_id", "title", "text", "published_at")).withColumn("x", extract.pattern_extract(F.col("title"), F.col("text"), F.col("published_at")))
     return a.select("fetch_id", "x.amount", "x.currency", F.round("x.amount_usd", 2).alias("amount_usd"), "x.stage", "x.company_name")
 
 
@@ -445,7 +445,7 @@ def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def build_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deals built from what the patterns read on every page."""
-    a = table(spark, sf_dir, "articles", "fetch_id", "title", "text", "published_at").withColumn("x", extract.pattern_extract(F.col("title"), F.col("text"), F.col("published_at")))
+    a = spread(table(spark, sf_dir, "articles", "fetch_id", "title", "text", "published_at")).withColumn("x", extract.pattern_extract(F.col("title"), F.col("text"), F.col("published_at")))
     built = validate.build_rounds(a.select("fetch_id", "x.*", F.to_date("published_at").alias("published_on")))
     return built.select("fetch_id", "round_id", "company_name", "stage", "amount_usd", "announced_on", F.size("investors").alias("n_investors"))
 
@@ -532,20 +532,20 @@ def backfill_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, day, author and text read from every page."""
-    a = table(spark, sf_dir, "articles", "fetch_id", "html").where("html is not null").withColumn("d", html.detail("html"))
+    a = spread(table(spark, sf_dir, "articles", "fetch_id", "html").where("html is not null")).withColumn("d", html.detail("html"))
     return a.select("fetch_id", "d.title", deals.calendar_day(F.col("d.published")).alias("day"), "d.author", F.length("d.text").alias("n_chars"))
 
 
 @query()
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of every page, absolute, each once in order."""
-    a = table(spark, sf_dir, "articles", "fetch_id", "url", "html").where("html is not null").withColumnRenamed("fetch_id", "page_id")
+    a = spread(table(spark, sf_dir, "articles", "fetch_id", "url", "html").where("html is not null")).withColumnRenamed("fetch_id", "page_id")
     return pages.candidate_links(a, F.lit(True))
 
 
 @query()
 def link_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.link_census(table(spark, sf_dir, "articles", "html").where("html is not null"))
+    return pages.link_census(spread(table(spark, sf_dir, "articles", "html").where("html is not null")))
 
 
 @query(

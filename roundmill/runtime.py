@@ -36,6 +36,13 @@ def cut(df: DataFrame, *, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores where the scan has fewer partitions than there are cores, as with one small file;
+    otherwise the scan as it is, without a shuffle. For work that costs far more than moving its rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when a count proves the bound; otherwise leave the choice to the planner.
 
