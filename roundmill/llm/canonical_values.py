@@ -139,7 +139,9 @@ def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
     """
     split = lambda c, i: F.substring_index(c, "|", i)
     dictionary = phrases.select("field_name", "ref_key", "whole", F.explode(_phrase_keys("phrase")).alias("k")).select("field_name", "ref_key", "whole", split("k", 1).alias("phrase"), split("k", -1).alias("key")).distinct()
-    typed = values.select("field_name", "value", F.explode(_run_keys("value")).alias("k")).select("field_name", "value", split("k", 1).alias("run"), split("k", -1).alias("key"))
+    # distinct values are few bytes but much work, so they are dealt out whatever their size
+    dealt = values.repartition(max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "field_name", "value")
+    typed = dealt.select("field_name", "value", F.explode(_run_keys("value")).alias("k")).select("field_name", "value", split("k", 1).alias("run"), split("k", -1).alias("key"))
     pairs = typed.join(broadcast_if_small(dictionary, MAX_DICTIONARY_ROWS), ["field_name", "key"]).select("field_name", "value", "run", "phrase", "ref_key", "whole").distinct()
     weights = values.select("field_name", F.col("value").alias("shown"), F.col("n").alias("frequency"))
     pairs = pairs.withColumn("cost", F.when(F.col("run") == F.col("phrase"), F.lit(0.0)).otherwise(_distance("run", "phrase")))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roundmill.llm.site_lines import repeated_lines
-from roundmill.runtime import collect_bounded
+from roundmill.runtime import collect_bounded, spread
 
 #: The classifier is fitted on about this many labelled pages, drawn by a hash of fetch_id; never more than twice as many.
 LABELLED_PAGES = 1500
@@ -194,7 +194,7 @@ def page_bodies(articles: DataFrame, weights: dict[str, float] | None = None) ->
             rows = [(k, i, b) for k, page in zip(batch["fetch_id"], batch["html"]) if page for i, b in enumerate(body_of(page, box.value), 1)]
             yield pd.DataFrame(rows, columns=["fetch_id", "block_no", "block"])
 
-    return pages.where("html is not null").select("fetch_id", "html").mapInPandas(run, "fetch_id long, block_no int, block string")
+    return spread(pages.where("html is not null").select("fetch_id", "html")).mapInPandas(run, "fetch_id long, block_no int, block string")
 
 
 def body_hashes(articles: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def claims(groups: DataFrame, rounds: DataFrame, sources: DataFrame, articles: D
     base = own.join(usd, "record_id", "left").join(seen.where("copies > 3"), "summary", "left")
     valid = F.when((F.col("confidence") >= 0) & (F.col("confidence") <= 1), F.col("confidence"))
     per_group = base.groupBy("group_id").agg(F.max(valid).alias("top"), F.percentile("usd", 0.5).alias("middle"))
-    base = base.join(per_group, "group_id")
+    base = cut(base.join(per_group, "group_id"))  # the members' rows only; three branches read them
     llm, hand = F.coalesce(F.col("extraction_method") == "llm", F.lit(False)), F.coalesce(F.col("extraction_method") == "manual", F.lit(False))
     text = F.trim(F.coalesce("summary", F.lit("")))
     yes = lambda c: F.coalesce(c, F.lit(False))
@@ -91,9 +91,9 @@ def claims(groups: DataFrame, rounds: DataFrame, sources: DataFrame, articles: D
     sites = held.select(F.regexp_extract("page", "^[^/?]+", 0).alias("site")).distinct()
     link = sources.select("round_id", F.col("article_url").alias("link"), canonical_url(F.col("article_url")).alias("page")).where("round_id is not null").distinct()
     link = link.join(held.withColumn("held", F.lit(True)), "page", "left").withColumn("site", F.regexp_extract("page", "^[^/?]+", 0)).join(sites.withColumn("known", F.lit(True)), "site", "left")
-    linked = base.select("group_id", "record_id", "round_id", llm.alias("llm"), hand.alias("hand")).join(link, "round_id", "left")
-    some = link.select("round_id").distinct().withColumn("any", F.lit(True))
-    base = base.join(some, "round_id", "left")
+    linked = cut(base.select("group_id", "record_id", "round_id", llm.alias("llm"), hand.alias("hand")).join(link, "round_id", "left"))
+    some = linked.where("link is not null").select("group_id", "record_id").distinct().withColumn("any", F.lit(True))
+    base = base.join(some, ["group_id", "record_id"], "left")
     true = lambda *s: F.array(*[yes(x) for x in s])
     confidence = base.select("group_id", F.lit("confidence").alias("field_name"), "record_id", F.col("confidence").cast("string").alias("value"), true(F.col("confidence").isNotNull(), valid.isNotNull(), valid == F.col("top"), llm, hand, F.col("any")).alias("supports"))
     summary = base.select("group_id", F.lit("summary").alias("field_name"), "record_id", F.col("summary").alias("value"), true(text != "", whole, _names("summary", "company_name"), F.col("stated_usd").isNotNull(), agrees, F.col("copies").isNull(), ~text.rlike(r"[<>\[\]{}|#]"), llm, hand).alias("supports"))
