@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roundmill.functions import deals, payload
+from roundmill.functions import deals, money, payload
 from roundmill.functions.text import clean_company, normalize_company, normalize_investor
 from roundmill.functions.urls import canonical_url
 from roundmill.operators import analytics, dedup, extract, html, monitoring, pages, resolve, upsert, validate
@@ -49,7 +49,23 @@ def _joined(spark: SparkSession, sf_dir: str, min_confidence: float | None = Non
 # --- quantities in different units -----------------------------------------------------------------------------------
 
 
-@query()
+def _stated_sums_sql() -> str:
+    """The stated sums in SQL: the regular expressions there know no look-around, so a mention is matched with its neighbours."""
+    currency, scale = "|".join(p for _, p in money.CURRENCY_FORMS), "|".join(p for _, p in money.SCALE_FORMS)
+    words = "|".join(sorted(money.NUMBER_WORDS, key=len, reverse=True))
+    edge, number = r"(?:[^\p{L}\p{N}]|$)", r"\d[\d,]*(?:\.\d+)?"
+    mention = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:({currency})\s*({number})(?:\s*({scale}){edge})?|({number}|(?:{words}))(?:\s*({scale}))?\s+({currency}){edge})"
+    case = lambda x, forms, last: "CASE " + " ".join(f"WHEN regexp_full_match({x}, '(?i)(?:{p})') THEN {v!r}" for v, p in forms) + f"{last} END"
+    spoken = "CASE lower(n) " + " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in money.NUMBER_WORDS.items()) + " ELSE TRY_CAST(replace(n, ',', '') AS DOUBLE) END"
+    return rf"""WITH s AS (SELECT record_id, amount_usd, ' ' || array_to_string(list_filter(string_split(regexp_replace(regexp_replace(summary, '{money.CUT_MARK}', ''), '([.!?])\s+(\p{{Lu}})', '\1' || chr(1) || '\2', 'g'), chr(1)),
+lambda x: NOT regexp_matches(x, '{money.OTHER_SUM}')), ' ') AS t FROM funding_rounds WHERE summary IS NOT NULL),
+m AS (SELECT record_id, amount_usd, t, regexp_extract(t, '{mention}', ['c1', 'n1', 's1', 'n2', 's2', 'c2']) AS g, regexp_extract(t, '{mention}', 0) AS whole FROM s),
+v AS (SELECT record_id, amount_usd, coalesce(nullif(g.n1, ''), g.n2) AS n, coalesce(nullif(g.s1, ''), g.s2) AS sc, coalesce(nullif(g.c1, ''), g.c2) AS cu FROM m WHERE whole <> '' AND NOT ends_with(trim(t), trim(whole))),
+w AS (SELECT record_id, amount_usd, ({spoken}) * ({case("sc", money.SCALE_FORMS, " ELSE 1")}) * usd_per_unit AS usd FROM v JOIN fx_rates f ON f.currency = {case("cu", money.CURRENCY_FORMS, "")})
+SELECT record_id, round(usd)::BIGINT AS usd_whole FROM w WHERE usd IS NOT NULL AND (amount_usd IS NULL OR abs(amount_usd - usd) > 0.01 * usd)"""
+
+
+@query(_stated_sums_sql())
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose stated sum and amount_usd disagree."""
     return wrong_dollars(convert_units(table(spark, sf_dir, "funding_rounds"), table(spark, sf_dir, "fx_rates")))
