@@ -71,14 +71,21 @@ def investor_kpis(joined: DataFrame) -> DataFrame:
 
 
 def company_rollup(rounds: DataFrame) -> DataFrame:
-    """Per company: number of deals, dollars, first known sector in order of record, timeline by day (unknown first)."""
+    """Per company: number of deals, dollars, first known sector in order of record. The timeline is a table of its own."""
     sector = F.nullif(F.trim(F.get_json_object("company_json", "$.sector")), F.lit(""))
-    step = F.struct(F.coalesce(day_text(F.col("announced_on")), F.lit("")).alias("day"), F.col("record_id"), F.col("stage"))
-    grouped = rounds.where("company_name is not null").groupBy("company_name").agg(
+    return rounds.where("company_name is not null").groupBy("company_name").agg(
         F.count("*").alias("n_rounds"), F.sum(F.coalesce("amount_usd", F.lit(0.0))).alias("total_usd"),
-        F.min_by(F.when(sector.isNotNull(), sector), F.when(sector.isNotNull(), F.col("record_id"))).alias("sector"), F.array_sort(F.collect_list(step)).alias("steps"),
+        F.min_by(F.when(sector.isNotNull(), sector), F.when(sector.isNotNull(), F.col("record_id"))).alias("sector"),
     )
-    return grouped.select("company_name", "n_rounds", "total_usd", "sector", F.array_join(F.transform("steps", lambda s: F.concat_ws(":", s["day"], F.coalesce(s["stage"], F.lit("")))), SEP).alias("timeline"))
+
+
+def company_timeline(rounds: DataFrame) -> DataFrame:
+    """Each deal's place in its company's timeline, unknown days first: one row per deal, so a company with a great
+    many deals is sorted and spilled, never held as one list."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("company_name").orderBy(F.col("announced_on").asc_nulls_first(), "record_id")
+    return rounds.where("company_name is not null").select("company_name", F.row_number().over(order).alias("place"), "record_id", day_text(F.col("announced_on")).alias("day"), "stage", "amount_usd", "confidence")
 
 
 def kpis(rounds: DataFrame) -> DataFrame:

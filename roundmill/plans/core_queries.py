@@ -156,13 +156,20 @@ def format_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH base AS (SELECT *, nullif(trim(CASE WHEN json_valid(company_json) THEN json_extract_string(company_json, '$.sector') END), '') AS sector FROM funding_rounds WHERE company_name IS NOT NULL)
-SELECT company_name, count(*)::BIGINT AS n_rounds, round(sum(coalesce(amount_usd, 0)), 2) AS total_usd, arg_min(sector, record_id) FILTER (WHERE sector IS NOT NULL) AS sector,
-string_agg(coalesce(strftime(announced_on, '%Y-%m-%d'), '') || ':' || coalesce(stage, ''), ' | ' ORDER BY coalesce(strftime(announced_on, '%Y-%m-%d'), ''), record_id) AS timeline FROM base GROUP BY company_name"""
+SELECT company_name, count(*)::BIGINT AS n_rounds, round(sum(coalesce(amount_usd, 0)), 2) AS total_usd, arg_min(sector, record_id) FILTER (WHERE sector IS NOT NULL) AS sector FROM base GROUP BY company_name"""
 )
 def company_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analytics.company_rollup(table(spark, sf_dir, "funding_rounds")), "total_usd")
 
 
+@query(
+    """SELECT company_name, (row_number() OVER (PARTITION BY company_name ORDER BY announced_on ASC NULLS FIRST, record_id))::INTEGER AS place, record_id, coalesce(strftime(announced_on, '%Y-%m-%d'), '') AS day, stage, amount_usd, confidence
+FROM funding_rounds WHERE company_name IS NOT NULL"""
+)
+def company_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.company_timeline(table(spark, sf_dir, "funding_rounds"))
+
+
 @query(
     """SELECT round(sum(coalesce(amount_usd, 0)), 2) AS total_usd, count(*)::BIGINT AS n_rounds, round(avg(amount_usd) FILTER (WHERE amount_usd <> 0), 2) AS mean_disclosed,
 (SELECT stage FROM funding_rounds WHERE stage IS NOT NULL GROUP BY stage ORDER BY count(*) DESC, stage LIMIT 1) AS top_stage FROM funding_rounds"""

@@ -48,7 +48,8 @@ def test_totals(joined):
     assert (k["total_usd"], k["n_rounds"], k["top_stage"]) == (12.5e6 + 8, 4, "seed") and k["mean_disclosed"] == pytest.approx((12.5e6 + 8) / 3)
     assert {r["bucket"]: r["n_rounds"] for r in analytics.amount_histogram(joined[1]).collect()} == {"<1M": 2, "1-5M": 0, "5-20M": 1, "20-50M": 0, "50-100M": 0, "100M+": 0}
     roll = {r["company_name"]: r for r in analytics.company_rollup(joined[1]).collect()}
-    assert roll["Hocco"]["timeline"] == ":seed | 2026-04-14:series_c" and roll["Hocco"]["sector"] == "foodtech"
+    assert roll["Hocco"]["sector"] == "foodtech" and roll["Hocco"]["n_rounds"] == 2
+    assert [(r["place"], r["day"], r["stage"]) for r in analytics.company_timeline(joined[1]).where("company_name = 'Hocco'").orderBy("place").collect()] == [(1, "", "seed"), (2, "2026-04-14", "series_c")]
     assert {(r["month"], r["sector"], r["n_rounds"]) for r in analytics.sector_mix(joined[0], 1).collect()} == {("2026-04", "Unknown", 1), ("2026-04", "Other", 1), ("2026-03", "Unknown", 1), ("2026-03", "Other", 0)}
     assert analytics.kpis(joined[1].limit(0)).first()["n_rounds"] == 0
 
