@@ -24,21 +24,26 @@ def p1_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.where("ref_key = 'unmatched'").groupBy("field_name", "value").agg(F.count("*").alias("n_rows"))
 
 
-def _survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("round_groups", "funding_rounds", "round_sources", "articles", "fx_rates")
-    return survivor.surviving_values(*(table(spark, sf_dir, n) for n in names))
+    return survivor.judged_members(*(table(spark, sf_dir, n) for n in names))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The member of each group that gives the surviving value of each field."""
-    return _survivors(spark, sf_dir).select("group_id", "field_name", "record_id")
+    return survivor.surviving_values(_judged(spark, sf_dir)).select("group_id", "field_name", "record_id")
 
 
 def p2_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One surviving record per group, with all links judged true."""
-    each = _survivors(spark, sf_dir)
-    pick = lambda f, c: F.max(F.when(F.col("field_name") == f, F.col(c)))
-    return each.groupBy("group_id").agg(pick("confidence", "value").cast("double").alias("confidence"), pick("summary", "value").alias("summary"), pick("article_url", "all_values").alias("article_urls"))
+    """One surviving record per group, each field from its best member."""
+    each = survivor.surviving_values(_judged(spark, sf_dir))
+    pick = lambda f: F.max(F.when(F.col("field_name") == f, F.col("value"))).alias(f)
+    return each.groupBy("group_id").agg(pick("confidence").cast("double").alias("confidence"), pick("summary"), pick("article_url"))
+
+
+def p2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every link judged true of each group."""
+    return survivor.true_values(_judged(spark, sf_dir))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +106,7 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_misses, p2_found, p2_survivors, p3_found, p3_cleaned, p5_found, p6_found, p6_entities, p7_found, p8_ids, p9_found, p9_items, p10_found, p10_profile)
+    own = (p1_found, p1_misses, p2_found, p2_survivors, p2_links, p3_found, p3_cleaned, p5_found, p6_found, p6_entities, p7_found, p8_ids, p9_found, p9_items, p10_found, p10_profile)
     return {f.__name__: f for f in own}
 
 

@@ -80,7 +80,7 @@ def claims(groups: DataFrame, rounds: DataFrame, sources: DataFrame, articles: D
     seen = rounds.where("summary is not null").groupBy("summary").agg(F.count("*").alias("copies"))
     base = own.join(usd, "record_id", "left").join(seen.where("copies > 3"), "summary", "left")
     valid = F.when((F.col("confidence") >= 0) & (F.col("confidence") <= 1), F.col("confidence"))
-    per_group = base.groupBy("group_id").agg(F.max(valid).alias("top"), F.percentile("usd", 0.5).alias("middle"))
+    per_group = base.groupBy("group_id").agg(F.max(valid).alias("top"), F.percentile_approx("usd", 0.5, 1000).alias("middle"))
     base = cut(base.join(per_group, "group_id"))  # the members' rows only; three branches read them
     llm, hand = F.coalesce(F.col("extraction_method") == "llm", F.lit(False)), F.coalesce(F.col("extraction_method") == "manual", F.lit(False))
     text = F.trim(F.coalesce("summary", F.lit("")))
@@ -117,18 +117,25 @@ def judged_claims(all_claims: DataFrame) -> DataFrame:
     return out
 
 
-def surviving_values(groups: DataFrame, rounds: DataFrame, sources: DataFrame, articles: DataFrame, rates: DataFrame) -> DataFrame:
-    """(group_id, field_name, record_id, value, all_values, posterior): the member that gives the surviving value of each field.
+def judged_members(groups: DataFrame, rounds: DataFrame, sources: DataFrame, articles: DataFrame, rates: DataFrame) -> DataFrame:
+    """All claims of all groups, judged; read by the two results below."""
+    return judged_claims(cut(claims(groups, rounds, sources, articles, rates)))
 
-    Judged claims that are also certain compete; the greatest posterior wins, ties go to the smaller record_id.
-    ``all_values`` holds every value judged true of a field that may have several. A field for which no claim is
-    left has no row; members without a record, repeated memberships and records without round_id, company or
-    summary are allowed; empty tables give no row.
+
+def surviving_values(judged: DataFrame) -> DataFrame:
+    """(group_id, field_name, record_id, value, posterior): the member that gives the surviving value of each field.
+
+    Claims that are certain compete; the greatest posterior wins, ties go to the smaller record_id. A field for
+    which no claim is left has no row; members without a record, repeated memberships and records without
+    round_id, company or summary are allowed; empty tables give no row. A group of any size is reduced by
+    partial aggregates.
     """
-    judged = judged_claims(cut(claims(groups, rounds, sources, articles, rates))).where("certain and value is not null")
-    best = judged.groupBy("group_id", "field_name").agg(
-        F.min_by(F.struct("record_id", "value", "posterior"), F.struct(-F.col("posterior"), F.col("record_id"))).alias("b"),
-        F.array_sort(F.collect_set(F.when(F.col("posterior") >= TRUE_AT, F.col("value")))).alias("all_values"),
-    )
-    several = F.when(F.col("field_name").isin(*MULTIPLE), F.col("all_values")).otherwise(F.array("b.value"))
-    return best.select("group_id", "field_name", "b.record_id", "b.value", several.alias("all_values"), F.round("b.posterior", 6).alias("posterior"))
+    fit = judged.where("certain and value is not null")
+    best = fit.groupBy("group_id", "field_name").agg(F.min_by(F.struct("record_id", "value", "posterior"), F.struct(-F.col("posterior"), F.col("record_id"))).alias("b"))
+    return best.select("group_id", "field_name", "b.record_id", "b.value", F.round("b.posterior", 6).alias("posterior"))
+
+
+def true_values(judged: DataFrame) -> DataFrame:
+    """(group_id, field_name, value): every value judged true of the fields that may hold several, one row each."""
+    kept = judged.where((F.col("posterior") >= TRUE_AT) & F.col("certain") & F.col("value").isNotNull() & F.col("field_name").isin(*MULTIPLE))
+    return kept.select("group_id", "field_name", "value").distinct()

@@ -29,21 +29,23 @@ def tables(rows):
 
 
 def test_survivors(tables):
-    got = {(r["group_id"], r["field_name"]): r for r in survivor.surviving_values(*tables).collect()}
+    judged = survivor.judged_members(*tables)
+    got = {(r["group_id"], r["field_name"]): r for r in survivor.surviving_values(judged).collect()}
     assert len(got) == 36
     for g in range(12):
         assert got[g, "confidence"]["record_id"] == g * 10 + 1
         assert got[g, "summary"]["record_id"] == g * 10
         assert got[g, "article_url"]["record_id"] == g * 10 + 2
-    assert len(got[0, "article_url"]["all_values"]) == 2  # both ways of writing the link are kept
-    assert len(got[0, "summary"]["all_values"]) == 1
+    links = survivor.true_values(judged).collect()
+    assert sum(r["group_id"] == 0 for r in links) == 2  # both ways of writing the link are kept
+    assert {r["field_name"] for r in links} == {"article_url"} and len(links) == 13
 
 
 def test_empty(tables):
     groups, rounds, links, pages, rates = tables
-    assert survivor.surviving_values(groups.limit(0), rounds, links, pages, rates).count() == 0
-    assert survivor.surviving_values(groups, rounds.limit(0), links, pages, rates).count() == 0
-    fields = {r["field_name"] for r in survivor.surviving_values(groups, rounds, links.limit(0), pages.limit(0), rates).collect()}
+    assert survivor.surviving_values(survivor.judged_members(groups.limit(0), rounds, links, pages, rates)).count() == 0
+    assert survivor.surviving_values(survivor.judged_members(groups, rounds.limit(0), links, pages, rates)).count() == 0
+    fields = {r["field_name"] for r in survivor.surviving_values(survivor.judged_members(groups, rounds, links.limit(0), pages.limit(0), rates)).collect()}
     assert fields == {"confidence", "summary"}
 
 
