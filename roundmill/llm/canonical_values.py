@@ -25,6 +25,7 @@ LONG = 12  # phrases from this length on may differ by two edits, shorter ones b
 LONGEST = 40  # phrases beyond this length must match exactly
 SHORT = 4  # phrases below this length must match exactly
 OWN_NAME_TIMES, OWN_NAME_LEAST = 4, 30
+CHANGED = 0.8  # least cost of another letter; swapped and doubled letters are slips however frequent
 
 # Common short forms of the reference cities that a list of former names lacks.
 CITY_ALIASES = {
@@ -133,8 +134,8 @@ def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
 
     ``values`` holds each (field_name, value) once with its number of rows. Ties go to the smaller weighted
     distance, then the longer run of words, then the reference written more often, then the smaller ref_key.
-    A spelling that an edit separates from its entry, yet is far more frequent than every other misspelling of
-    that entry, is a name of its own and stays unmatched. Values without letters or digits are unmatched; an
+    A spelling with another letter than its entry that is far more frequent than every other such misspelling of
+    that entry is a name of its own and stays unmatched. Values without letters or digits are unmatched; an
     empty list leaves all unmatched; an empty table gives no row.
     """
     split = lambda c, i: F.substring_index(c, "|", i)
@@ -152,11 +153,11 @@ def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
     best = pairs.groupBy("field_name", "value").agg(F.min_by(F.struct("ref_key", "cost", "run"), rank).alias("b"))
     mapped = values.join(best, ["field_name", "value"], "left").select("field_name", "value", "n", F.col("b.ref_key").alias("ref_key"), F.col("b.cost").alias("cost"), F.col("b.run").alias("run"))
     # names of their own: counts of each misspelling, per entry
-    spelled = mapped.where("cost > 0").groupBy("field_name", "ref_key", "run").agg(F.sum("n").alias("n"))
+    spelled = mapped.where(F.col("cost") >= CHANGED).groupBy("field_name", "ref_key", "run").agg(F.sum("n").alias("n"))
     top = spelled.groupBy("field_name", "ref_key").agg(F.sort_array(F.slice(F.sort_array(F.collect_list(F.struct("n", "run")), False), 1, 2), False).alias("t"))
     own = top.where((F.col("t")[0]["n"] >= OWN_NAME_LEAST) & (F.size("t") > 1) & (F.col("t")[0]["n"] >= OWN_NAME_TIMES * F.try_element_at("t", F.lit(2))["n"])).select("field_name", "ref_key", F.col("t")[0]["run"].alias("own_run"))
     mapped = mapped.join(own, ["field_name", "ref_key"], "left")
-    is_own = (F.col("cost") > 0) & F.col("own_run").isNotNull() & (F.col("own_run") == F.col("run"))
+    is_own = (F.col("cost") >= CHANGED) & F.col("own_run").isNotNull() & (F.col("own_run") == F.col("run"))
     return mapped.select("field_name", "value", "n", F.when(is_own, None).otherwise(F.col("ref_key")).alias("ref_key"), "cost").fillna("unmatched", ["ref_key"])
 
 
