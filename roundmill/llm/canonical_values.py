@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 from itertools import combinations
 
 import pandas as pd
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundmill.runtime import broadcast_if_small
+from roundmill.runtime import broadcast_if_small, cut
 
 MAX_DICTIONARY_ROWS = 500_000  # the delete dictionary is broadcast up to this size and shuffled beyond it
 LONG = 12  # phrases from this length on may differ by two edits, shorter ones by one
@@ -96,18 +95,18 @@ def weighted_distance(a: str, b: str, limit: int) -> float:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _run_keys(text: pd.Series) -> pd.Series:
-    """"run|key" for every run of words and each of its delete keys."""
-    return text.map(lambda t: [f"{r}|{k}" for r in runs_of(t) for k in delete_keys(r)] if t else [])
+def _runs(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: list(runs_of(t)) if t else [])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _phrase_keys(text: pd.Series) -> pd.Series:
-    def keys(t: str | None) -> list[str]:
-        phrase = "".join(words_of(t or ""))
-        return [f"{phrase}|{k}" for k in delete_keys(phrase)] if phrase else []
+@F.pandas_udf(T.StringType())
+def _plain(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: "".join(words_of(t or "")))
+
 
-    return text.map(keys)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _keys(plain: pd.Series) -> pd.Series:
+    return plain.map(lambda p: list(delete_keys(p)) if p else [])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -138,16 +137,18 @@ def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
     that entry is a name of its own and stays unmatched. Values without letters or digits are unmatched; an
     empty list leaves all unmatched; an empty table gives no row.
     """
-    split = lambda c, i: F.substring_index(c, "|", i)
-    dictionary = phrases.select("field_name", "ref_key", "whole", F.explode(_phrase_keys("phrase")).alias("k")).select("field_name", "ref_key", "whole", split("k", 1).alias("phrase"), split("k", -1).alias("key")).distinct()
-    # distinct values are few bytes but much work, so they are dealt out whatever their size
-    dealt = values.repartition(max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "field_name", "value")
-    typed = dealt.select("field_name", "value", F.explode(_run_keys("value")).alias("k")).select("field_name", "value", split("k", 1).alias("run"), split("k", -1).alias("key"))
-    pairs = typed.join(broadcast_if_small(dictionary, MAX_DICTIONARY_ROWS), ["field_name", "key"]).select("field_name", "value", "run", "phrase", "ref_key", "whole").distinct()
+    cores = max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    named = phrases.select("field_name", "ref_key", "whole", _plain("phrase").alias("phrase")).where("phrase <> ''").distinct()
+    dictionary = named.select("*", F.explode(_keys("phrase")).alias("key"))
+    typed = values.select("field_name", "value", F.explode(_runs("value")).alias("run"))
+    # each distinct run is looked up once; runs are few bytes but much work, so they are dealt out whatever their size
+    runs = typed.select("field_name", "run").distinct().repartition(cores, "field_name", "run")
+    met = runs.select("field_name", "run", F.explode(_keys("run")).alias("key")).join(broadcast_if_small(dictionary, MAX_DICTIONARY_ROWS), ["field_name", "key"]).select("field_name", "run", "phrase", "ref_key", "whole").distinct()
+    near = met.repartition(cores).withColumn("cost", F.when(F.col("run") == F.col("phrase"), F.lit(0.0)).otherwise(_distance("run", "phrase"))).where("cost < 10")
+    pairs = typed.join(cut(near), ["field_name", "run"])
     weights = values.select("field_name", F.col("value").alias("shown"), F.col("n").alias("frequency"))
-    pairs = pairs.withColumn("cost", F.when(F.col("run") == F.col("phrase"), F.lit(0.0)).otherwise(_distance("run", "phrase")))
     head = F.lower(F.regexp_replace(F.split("value", ",")[0], r"[^\p{L}\p{N}]", ""))
-    fits = (F.col("cost") < 10) & (~F.col("whole") | ((F.col("cost") == 0) & (head == F.col("run"))))
+    fits = ~F.col("whole") | ((F.col("cost") == 0) & (head == F.col("run")))
     pairs = pairs.where(fits).join(weights, (pairs.field_name == weights.field_name) & (pairs.ref_key == weights.shown), "left").select(pairs["*"], "frequency")
     rank = F.struct("cost", -F.length("run"), F.when(F.col("ref_key").isNull(), 0).otherwise(1), -F.coalesce("frequency", F.lit(0)), "ref_key")
     best = pairs.groupBy("field_name", "value").agg(F.min_by(F.struct("ref_key", "cost", "run"), rank).alias("b"))
