@@ -109,10 +109,10 @@ def leaked_items(documents: DataFrame, items: DataFrame, *, words: int = WORDS)
     """(doc_id, item_id, n_words) of each document that holds ``words`` or more running words of an item, about one in
     eight of them changed at most (a passage whose outer words were changed counts from WORDS - 2).
 
-    Null and blank texts hold and leak nothing; items of fewer words than asked can't leak. Repeated documents
+    Null and blank texts hold and leak nothing; rows without an id are left out; items of fewer words than asked can't leak. Repeated documents
     and items are reported each under its id; an empty table on either side gives no row.
     """
-    rows = items.where("text is not null").select("item_id", "text")
+    rows = items.where("text is not null and item_id is not null").select("item_id", "text")
     blocks = max(1, -(-rows.count() // MAX_ITEM_ROWS))
     out = None
     for block in range(blocks):
@@ -128,7 +128,7 @@ def _leaks_of_block(documents: DataFrame, part: DataFrame, least: int) -> DataFr
     items = {i: w for i, w in items.items() if len(w) >= least - 2}
     marks = index_terms(items)
     box = spark.sparkContext.broadcast((items, marks))
-    texts = documents.select("doc_id", "text").where("text is not null")
+    texts = documents.select("doc_id", "text").where("text is not null and doc_id is not null")
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = box.value[1]

@@ -180,11 +180,11 @@ def body_of(page: str, weights: dict[str, float]) -> list[str]:
 def page_bodies(articles: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """(fetch_id, block_no, block) of the body's blocks of each page with html, in page order.
 
-    Rows with null, empty or blank html have none, as has a page on which nothing scores positive. Without
+    Rows with null, empty or blank html or without an id have none, as has a page on which nothing scores positive. Without
     ``weights`` they are fitted on a bounded sample of the pages themselves; a table without labelled pages
     gives no row. Repeated rows give repeated blocks; extra columns are ignored. Pages never meet in a shuffle.
     """
-    pages = articles.select("fetch_id", "source", "text", "html", "published_at")
+    pages = articles.select("fetch_id", "source", "text", "html", "published_at").where("fetch_id is not null")
     if weights is None:
         weights = fit_weights(label_pages(pages))
     box = articles.sparkSession.sparkContext.broadcast(weights)

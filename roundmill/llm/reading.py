@@ -80,7 +80,7 @@ def text_figures(documents: DataFrame, familiar: list[str]) -> DataFrame:
                     rows.append((doc_id, len(words), [float(np.log(len(words) / sentence_count(text))), *map(float, outside)]))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "figures"])
 
-    return documents.select("doc_id", "text").where("text is not null").mapInPandas(run, "doc_id long, n_words int, figures array<double>")
+    return documents.select("doc_id", "text").where("text is not null and doc_id is not null").mapInPandas(run, "doc_id long, n_words int, figures array<double>")
 
 
 def fit_levels(x: np.ndarray, y: np.ndarray, *, rounds: int = 1500, decay: float = 1e-3, rate: float = 0.5) -> dict:
@@ -111,7 +111,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, unfamiliar, reader_level) of each document in English, whatever its ``lang`` says, with at least
     LEAST_WORDS words; ``unfamiliar`` is the share of words outside the whole list.
 
-    Null, empty, short and foreign texts give no row. Labels outside 1 to 4 and labels of other documents are
+    Null, empty, short and foreign texts give no row, nor do rows without an id. Labels outside 1 to 4 and labels of other documents are
     left out; without labels all texts get level 2. Repeated rows are rated each; an empty table gives no row.
     """
     figures = cut(text_figures(documents, familiar_words(documents)))

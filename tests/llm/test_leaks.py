@@ -47,7 +47,7 @@ def test_leaks(rows):
     docs[60], docs[61], docs[62], docs[63] = None, "", "   ", FILL * 2000
     docs[64] = docs[0] + " " + docs[1]
     expected |= {(64, 0), (64, 1)}
-    df = rows("doc_id long, text string, item_id string", *[(k, v, "clash") for k, v in docs.items()])
+    df = rows("doc_id long, text string, item_id string", *[(k, v, "clash") for k, v in docs.items()], (None, docs[0], ""))
     its = rows("item_id long, text string, task string", *[(k, v, "qa") for k, v in ITEMS.items()], (900, None, ""), (901, "", ""), (902, "too short to leak", ""))
     got = {(r["doc_id"], r["item_id"]) for r in leaks.leaked_items(df, its).collect()}
     assert got == expected

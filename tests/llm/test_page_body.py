@@ -45,7 +45,7 @@ def test_accuracy_and_edges(rows):
     df = rows(schema, *[(i, "s", t, h, day(i), "clash") for i, (h, _, t) in enumerate(data)])
     weights = page_body.fit_weights(page_body.label_pages(df.select("fetch_id", "source", "text", "html", "published_at")))
     held = [make(1000 + i, rng) for i in range(40)]
-    test = rows(schema, *[(i, "s", None, h, None, "") for i, (h, _, _) in enumerate(held)], (900, "s", "x", None, None, None), (901, None, None, "", None, None), (902, "s", None, "plain " * 50_000, None, None), (903, "s", None, "<p><div><broken", None, None))
+    test = rows(schema, *[(i, "s", None, h, None, "") for i, (h, _, _) in enumerate(held)], (900, "s", "x", None, None, None), (901, None, None, "", None, None), (902, "s", None, "plain " * 50_000, None, None), (903, "s", None, "<p><div><broken", None, None), (None, "s", None, held[0][0], None, None))
     got = {}
     for r in page_body.page_bodies(test, weights).collect():
         got.setdefault(r["fetch_id"], []).append(r["block"])

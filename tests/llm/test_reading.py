@@ -20,7 +20,7 @@ def test_levels(rows):
     rng = random.Random(1)
     docs = [(i, text(1 + i % 4, rng), "de") for i in range(240)]
     labels = [(i, 1 + i % 4) for i in range(0, 120)] + [(5, None), (6, 9), (None, 2), (9999, 1)]
-    odd = [(900, None, None), (901, "", "en"), (902, "The cat.", "en"), (903, "Die Bank plant ein neues Lager mit der Firma und das Unternehmen. " * 9, "en"), (904, "the food of the town is in the van " * 9000, None), (905, "नमस्ते दुनिया " * 60, "en")]
+    odd = [(900, None, None), (901, "", "en"), (902, "The cat.", "en"), (903, "Die Bank plant ein neues Lager mit der Firma und das Unternehmen. " * 9, "en"), (904, "the food of the town is in the van " * 9000, None), (905, "नमस्ते दुनिया " * 60, "en"), (None, text(1, rng), "en")]
     df = rows("doc_id long, text string, lang string", *docs, *odd)
     got = {r["doc_id"]: r["reader_level"] for r in reading.reading_levels(df, rows("doc_id long, reader_level int", *labels)).collect()}
     held = range(120, 240)
