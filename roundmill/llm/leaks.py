@@ -1,11 +1,9 @@
 """Evaluation passages inside training documents.
 
-A positional inverted index holds the postings (term, document, position) of the rarest terms of the
-evaluation items, the names and numbers that mark an item. Postings meet the items' own term positions;
-the offset-adjusted positions (document position less item position) of one document and item name places,
-where the word sequences are then compared: the passage must run over enough words, nearly all of them
-equal and among them a name or two numbers that mark the item. Wording that many items share names no
-place, so a passage in another text built alike is no leak.
+A positional index holds every three neighbouring words of the evaluation items. Each text is read once and
+meets it; the offset-adjusted positions (document position less item position) of one document and item name
+places, where the word sequences are then compared: the passage must run over enough words, nearly all of them
+equal and among them a name or two numbers that mark the item, so a passage in another text built alike is no leak.
 """
 
 from __future__ import annotations
@@ -15,20 +13,21 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundmill.runtime import broadcast_if_small, collect_bounded, cut
+from roundmill.runtime import collect_bounded
 
 WORDS = 15  # running words that make a leak
 CHANGED = 8  # about one word in so many may be changed
 RARE_ITEMS = 2  # a term in at most so many items marks an item
-COMMON_TIMES = 10  # a mark this many times as frequent as the item's median mark proposes no places
 DRIFT = 6  # words by which inserted or lost words may shift the rest
 MAX_ITEM_ROWS = 200_000  # held-out items kept in memory at once; more are worked off in blocks
-MAX_CANDIDATES = 300_000  # documents whose places are broadcast to the second read of the texts; more are joined by a shuffle behind a Bloom filter
+KEPT = 2_000  # texts whose result a worker keeps
 
 _INLINE = re.compile(r"</?(?:b|i|em|strong|span|a|u|s|mark|sup|sub|font|code)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[/!a-zA-Z][^<>]*>")
@@ -55,17 +54,57 @@ def index_terms(items: dict[int, list[str]]) -> set[str]:
     return {w for w, n in frequency.items() if n <= max(RARE_ITEMS, len(items) // 100) and len(w) > 2}
 
 
-def rarest_positions(items: dict[int, list[str]], marks: set[str], frequency: dict[str, int]) -> dict[int, list[int]]:
-    """Positions of the marks that propose places: those about as rare in the corpus as the item's rarer marks. Marks that
-    are ordinary words elsewhere (towns, round numbers) only confirm. An item that leaked everywhere keeps its marks,
-    since they are then all as frequent."""
-    out = {}
-    for item, words in items.items():
-        own = [p for p, w in enumerate(words) if w in marks]
-        counts = sorted(frequency.get(words[p], 0) for p in own)
-        limit = max(10, COMMON_TIMES * counts[len(counts) // 2]) if counts else 0
-        out[item] = [p for p in own if frequency.get(words[p], 0) <= limit]
-    return out
+def _codes(ids: np.ndarray) -> np.ndarray:
+    """One number for each three neighbouring words; equal numbers of different words only propose a place too much."""
+    a = ids.astype(np.uint64)
+    return (a[:-2] * np.uint64(0x9E3779B97F4A7C15) + a[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + a[2:]
+
+
+class Index:
+    """The items' words as numbers, and where each three neighbouring words of theirs stand, sorted by code."""
+
+    def __init__(self, items: dict[int, list[str]]):
+        self.keys, self.words, self.marks = list(items), list(items.values()), index_terms(items)
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(w for words in self.words for w in words))}
+        self.ids = [np.array([self.number[w] for w in words], dtype=np.int32) for words in self.words]
+        self.weight = np.array([(1 if w.isdecimal() else 2) * (w in self.marks) for w in self.number], dtype=np.int8)
+        empty = [np.empty(0, dtype=np.uint64)]
+        codes = np.concatenate([_codes(x) for x in self.ids if len(x) > 2] + empty)
+        owner = np.concatenate([np.full(len(x) - 2, k, dtype=np.int32) for k, x in enumerate(self.ids) if len(x) > 2] + [np.empty(0, dtype=np.int32)])
+        at = np.concatenate([np.arange(len(x) - 2, dtype=np.int32) for x in self.ids if len(x) > 2] + [np.empty(0, dtype=np.int32)])
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.owner, self.at = codes[order], owner[order], at[order]
+
+    def places(self, doc: list[str]) -> tuple[np.ndarray, dict[int, list[int]]]:
+        """Which numbered words the document holds, and for each item that shares three neighbouring words with it the
+        offsets (document position less item position). With at most three of fifteen words changed, or two of thirteen,
+        three neighbouring ones stay, so each leaked window proposes its place, however frequent its words are."""
+        ids = np.fromiter((self.number.get(w, -1) for w in doc), dtype=np.int64, count=len(doc))
+        held = np.zeros(len(self.number), dtype=bool)
+        if len(ids) < 3 or not len(self.codes):
+            return held, {}
+        spots = np.flatnonzero((ids[:-2] >= 0) & (ids[1:-1] >= 0) & (ids[2:] >= 0))
+        codes = _codes(ids)[spots]
+        low, high = np.searchsorted(self.codes, codes, "left"), np.searchsorted(self.codes, codes, "right")
+        out: dict[int, set[int]] = defaultdict(set)
+        for p, x, y in zip(spots.tolist(), low.tolist(), high.tolist()):
+            for k, q in zip(self.owner[x:y].tolist(), self.at[x:y].tolist()):
+                out[k].add(p - q)
+        if out:
+            held[ids[ids >= 0]] = True
+        return held, {k: sorted(v) for k, v in out.items()}
+
+    def found(self, text: str, least: int) -> list[tuple[int, int]]:
+        """(item_id, words) of the items that leaked into the text."""
+        doc, out = words_of(text), []
+        held, places = self.places(doc)
+        for k, offsets in places.items():
+            if (self.weight * held)[self.ids[k]].sum() < 2:  # no mark of the item anywhere in the text
+                continue
+            n = max(longest_passage(self.words[k], doc, offset, self.marks) for offset in offsets)
+            if n >= least - 2:
+                out.append((self.keys[k], n))
+        return out
 
 
 def longest_passage(item: list[str], doc: list[str], shift: int, marks: set[str], drift: int = DRIFT) -> int:
@@ -126,41 +165,13 @@ def _leaks_of_block(documents: DataFrame, part: DataFrame, least: int) -> DataFr
     spark = documents.sparkSession
     items = {r["item_id"]: words_of(r["text"]) for r in collect_bounded(part, 4 * MAX_ITEM_ROWS, "held-out items of a block")}
     items = {i: w for i, w in items.items() if len(w) >= least - 2}
-    marks = index_terms(items)
-    box = spark.sparkContext.broadcast((items, marks))
+    box = spark.sparkContext.broadcast(Index(items))
     texts = documents.select("doc_id", "text").where("text is not null and doc_id is not null")
 
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = box.value[1]
-        for batch in batches:
-            ids, found, at = [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                hits = [(p, w) for p, w in enumerate(words_of(text)) if w in terms]
-                ids += [doc_id] * len(hits)
-                at += [p for p, _ in hits]
-                found += [w for _, w in hits]
-            yield pd.DataFrame({"term": pd.Series(found, dtype=object), "doc_id": pd.Series(ids, dtype="int64"), "pos": pd.Series(at, dtype="int64")})  # a batch may hold none
-
-    postings = cut(texts.mapInPandas(post, "term string, doc_id long, pos int"))
-    frequency = {r["term"]: r["n"] for r in collect_bounded(postings.groupBy("term").agg(F.count("*").alias("n")), len(marks), "terms that mark items")}
-    rows = [(items[i][p], i, p) for i, positions in rarest_positions(items, marks, frequency).items() for p in positions]
-    of_items = spark.createDataFrame(rows, "term string, item_id long, item_pos int")
-    # the items' positions are bounded by the block, so each posting meets them where it lies
-    places = postings.join(broadcast_if_small(of_items, 50 * MAX_ITEM_ROWS), "term").select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
-    candidates = cut(places.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "offset")).alias("places")))  # bounded per document by its words
-    found = texts.join(broadcast_if_small(candidates, MAX_CANDIDATES), "doc_id").select("doc_id", "text", "places")
-
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, marks = box.value
+        found = lru_cache(KEPT)(lambda text: box.value.found(text, least))  # a text that stands in many rows is compared once
         for batch in batches:
-            rows = []
-            for doc_id, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
-                doc = words_of(text)
-                best: dict[int, int] = defaultdict(int)
-                for place in places:
-                    i = place["item_id"]
-                    best[i] = max(best[i], longest_passage(items[i], doc, place["offset"], marks))
-                rows += [(doc_id, i, n) for i, n in best.items() if n >= least - 2]
+            rows = [(doc_id, i, n) for doc_id, text in zip(batch["doc_id"], batch["text"]) for i, n in found(text)]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_words"])
 
-    return found.mapInPandas(verify, "doc_id long, item_id long, n_words int")
+    return texts.mapInPandas(verify, "doc_id long, item_id long, n_words int")

@@ -60,6 +60,14 @@ def test_item_that_leaked_everywhere(rows):
     assert got == {(i, 3) for i in range(200)} | {(900, 5)}
 
 
+def test_part_that_leaked_everywhere(rows):
+    """Fewer than half of the item's marks leaked, and they are the frequent ones."""
+    part = " ".join(ITEMS[3].split()[-18:])
+    docs = [(i, f"{FILL} {part} {FILL}") for i in range(200)] + [(900, ITEMS[5])]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.leaked_items(rows("doc_id long, text string", *docs), rows("item_id long, text string", *ITEMS.items())).collect()}
+    assert got == {(i, 3) for i in range(200)} | {(900, 5)}
+
+
 @pytest.mark.parametrize(("raw", "words"), [("Pref-\nerence <b>Sh</b>ares&nbsp;<br>é", ["preference", "shares", "e"]), ("earn-out *x* a_b", ["earnout", "x", "a", "b"]), ("", [])])
 def test_words(raw, words):
     assert leaks.words_of(raw) == words
