@@ -11,9 +11,11 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -107,10 +109,9 @@ class Index:
         return out
 
 
-def longest_passage(item: list[str], doc: list[str], shift: int, marks: set[str], drift: int = DRIFT) -> int:
-    """Item words of the best passage near the given offset: equal words count 1, changed ones cost 3. The passage
-    must hold a name that marks the item, or two numbers that do; 0 if there is none."""
-    best = run = length = matched = mark = 0
+def aligned(item: list[str], doc: list[str], shift: int, drift: int = DRIFT) -> list[bool]:
+    """Which item words stand in the document near the given offset, in order."""
+    out, run = [], 0
     here, last, n, end = shift, -1, len(doc), len(item) - 1
     for i, w in enumerate(item):
         hit = -1
@@ -127,20 +128,40 @@ def longest_passage(item: list[str], doc: list[str], shift: int, marks: set[str]
                 if hit >= 0:
                     break
         if hit >= 0:
-            if run <= 0:
-                length = matched = mark = 0
-                run = 0
-            here, last = hit - i, hit
-            run, length, matched = run + 1, length + 1, matched + 1
-            if w in marks:
-                mark += 1 if w.isdecimal() else 2
-            if mark > 1 and length > best and matched >= length * (1 - 1.6 / CHANGED):
-                best = length
+            here, last, run = hit - i, hit, max(run, 0) + 1
         elif run > 0:
             run -= 3
-            length += 1
-            if run <= 0:
-                here, last = shift, -1
+            if run <= 0:  # the passage may have ended: back to the offset asked for
+                here = shift
+        out.append(hit >= 0)
+    return out
+
+
+def windows(hits: list[bool]) -> list[tuple[int, int]]:
+    """(first, end) of the longest window from each equal word on to an equal word, nearly all of whose words are equal."""
+    change = round(CHANGED / 1.6)  # one word in so many, rounded loosely
+    sums = list(accumulate((1 if h else 1 - change for h in hits), initial=0))
+    tops, top = [], []  # the ends from which on no later end has as high a sum
+    for end in range(len(hits), 0, -1):
+        if hits[end - 1] and (not tops or sums[end] > tops[-1]):
+            tops.append(sums[end])
+            top.append(end)
+    out = []
+    for first, hit in enumerate(hits):
+        if hit:
+            end = top[bisect_left(tops, sums[first])]  # the word itself is a window of one
+            out.append((first, end))
+    return out
+
+
+def longest_passage(item: list[str], doc: list[str], shift: int, marks: set[str], drift: int = DRIFT) -> int:
+    """Item words of the longest passage near the given offset, of which at most one word in CHANGED, loosely, is changed.
+    The passage must hold a name that marks the item, or two numbers that do; 0 if there is none."""
+    best = 0
+    plain = [0 <= i + shift < len(doc) and doc[i + shift] == w for i, w in enumerate(item)]
+    for hits in (plain, aligned(item, doc, shift, drift)):
+        mark = list(accumulate((((1 if w.isdecimal() else 2) if h and w in marks else 0) for h, w in zip(hits, item)), initial=0))
+        best = max([best, *(end - first for first, end in windows(hits) if mark[end] - mark[first] > 1)])
     return best
 
 

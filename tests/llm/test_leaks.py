@@ -68,6 +68,15 @@ def test_part_that_leaked_everywhere(rows):
     assert got == {(i, 3) for i in range(200)} | {(900, 5)}
 
 
+@pytest.mark.parametrize(("n", "changed"), [(15, (k,)) for k in range(15)] + [(15, (a, b)) for a in range(1, 14) for b in range(a + 1, 14)] + [(20, (3, 7)), (20, (1, 18)), (16, (2, 13))])
+def test_changes_anywhere(n, changed):
+    """One or two changed words lose no passage, wherever they stand."""
+    words = leaks.words_of(ITEMS[3])
+    marks = leaks.index_terms({i: leaks.words_of(t) for i, t in ITEMS.items()})
+    passage = ["other" if k in changed else w for k, w in enumerate(words[:n])]
+    assert leaks.longest_passage(words, ["yes", *passage, "so"], 1, marks) >= n - 2
+
+
 @pytest.mark.parametrize(("raw", "words"), [("Pref-\nerence <b>Sh</b>ares&nbsp;<br>é", ["preference", "shares", "e"]), ("earn-out *x* a_b", ["earnout", "x", "a", "b"]), ("", [])])
 def test_words(raw, words):
     assert leaks.words_of(raw) == words
