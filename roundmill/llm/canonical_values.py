@@ -128,14 +128,15 @@ def reference_phrases(sectors: DataFrame, cities: DataFrame) -> DataFrame:
     return sector.unionByName(city).withColumn("whole", F.lit(False)).unionByName(extra).unionByName(other).where("phrase is not null")
 
 
-def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
+def map_values(values: DataFrame, phrases: DataFrame, *, own_by_count: bool = True) -> DataFrame:
     """(field_name, value, n) to (field_name, value, n, ref_key, cost): ref_key is ``unmatched`` where no entry fits.
 
     ``values`` holds each (field_name, value) once with its number of rows. Ties go to the smaller weighted
     distance, then the longer run of words, then the reference written more often, then the smaller ref_key.
-    A spelling with another letter than its entry that is far more frequent than every other such misspelling of
-    that entry is a name of its own and stays unmatched. Values without letters or digits are unmatched; an
-    empty list leaves all unmatched; an empty table gives no row.
+    With ``own_by_count`` a spelling with another letter than its entry that is far more frequent than every other such
+    misspelling of that entry is a name of its own and stays unmatched; this depends on the number of rows, so the queries
+    do without it and only the listed other places are names of their own. Values without letters or digits are
+    unmatched; an empty list leaves all unmatched; an empty table gives no row.
     """
     cores = max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     named = phrases.select("field_name", "ref_key", "whole", _plain("phrase").alias("phrase")).where("phrase <> ''").distinct()
@@ -153,6 +154,8 @@ def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
     rank = F.struct("cost", -F.length("run"), F.when(F.col("ref_key").isNull(), 0).otherwise(1), -F.coalesce("frequency", F.lit(0)), "ref_key")
     best = pairs.groupBy("field_name", "value").agg(F.min_by(F.struct("ref_key", "cost", "run"), rank).alias("b"))
     mapped = values.join(best, ["field_name", "value"], "left").select("field_name", "value", "n", F.col("b.ref_key").alias("ref_key"), F.col("b.cost").alias("cost"), F.col("b.run").alias("run"))
+    if not own_by_count:
+        return mapped.drop("run").fillna("unmatched", ["ref_key"])
     # names of their own: counts of each misspelling, per entry
     spelled = mapped.where(F.col("cost") >= CHANGED).groupBy("field_name", "ref_key", "run").agg(F.sum("n").alias("n"))
     top = spelled.groupBy("field_name", "ref_key").agg(F.sort_array(F.slice(F.sort_array(F.collect_list(F.struct("n", "run")), False), 1, 2), False).alias("t"))
@@ -168,13 +171,13 @@ def stacked(sample: DataFrame) -> DataFrame:
     return sample.select("sample_no", F.explode(F.array(pair("sector"), pair("city"))).alias("x")).select("sample_no", "x.field_name", "x.value").where("value is not null")
 
 
-def canonical_values(sample: DataFrame, sectors: DataFrame, cities: DataFrame) -> DataFrame:
+def canonical_values(sample: DataFrame, sectors: DataFrame, cities: DataFrame, *, own_by_count: bool = True) -> DataFrame:
     """(sample_no, field_name, value, ref_key, cost) for each non-null sector and city; ``unmatched`` where none is meant.
 
-    Null values give no row; empty and blank ones are unmatched; repeated rows stay.
+    Null values give no row; empty and blank ones are unmatched; repeated rows stay; ``own_by_count`` as in map_values.
     """
     long = stacked(sample)
-    mapped = map_values(long.groupBy("field_name", "value").agg(F.count("*").alias("n")), reference_phrases(sectors, cities))
+    mapped = map_values(long.groupBy("field_name", "value").agg(F.count("*").alias("n")), reference_phrases(sectors, cities), own_by_count=own_by_count)
     return long.join(mapped.drop("n"), ["field_name", "value"]).select("sample_no", "field_name", "value", "ref_key", "cost")
 
 

@@ -14,13 +14,13 @@ from roundmill.runtime import table
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entry meant by each typed sector and city that isn't already one."""
     sectors, cities = table(spark, sf_dir, "ref_sectors"), table(spark, sf_dir, "ref_cities")
-    mapped = canonical_values.canonical_values(table(spark, sf_dir, "sample_rounds", "sample_no", "sector", "city"), sectors, cities)
+    mapped = canonical_values.canonical_values(table(spark, sf_dir, "sample_rounds", "sample_no", "sector", "city"), sectors, cities, own_by_count=False)
     return canonical_values.typed_cases(mapped, sectors, cities)
 
 
 def p1_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report of the values with no entry, and how often each stands."""
-    mapped = canonical_values.canonical_values(table(spark, sf_dir, "sample_rounds", "sample_no", "sector", "city"), table(spark, sf_dir, "ref_sectors"), table(spark, sf_dir, "ref_cities"))
+    mapped = canonical_values.canonical_values(table(spark, sf_dir, "sample_rounds", "sample_no", "sector", "city"), table(spark, sf_dir, "ref_sectors"), table(spark, sf_dir, "ref_cities"), own_by_count=False)
     return mapped.where("ref_key = 'unmatched'").groupBy("field_name", "value").agg(F.count("*").alias("n_rows"))
 
 

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roundmill.llm import canonical_values as cv
+from roundmill.llm import queries
 
 SECTORS = [("fintech", "FinTech", ["digital lending", "payments"]), ("d2c", "D2C Brands", ["skincare"]), ("web3", "Web3", None)]
 CITIES = [("Bengaluru", "Karnataka", ["Bangalore"]), ("Nagpur", "Maharashtra", []), ("New Delhi", "Delhi", ["Delhi"]), ("Thiruvananthapuram", "Kerala", None), ("Patna", "Bihar", []), ("Chennai", "Tamil Nadu", ["Madras"])]
@@ -64,3 +65,13 @@ def test_frequent_misspelling_is_its_own_name(rows, tables):
     data = [(i, None, "Bengalura") for i in range(60)] + [(100 + i, None, "Bengalru") for i in range(5)]
     got = {r["value"]: r["ref_key"] for r in cv.canonical_values(rows("sample_no long, sector string, city string", *data), *tables).collect()}
     assert got == {"Bengalura": "unmatched", "Bengalru": "Bengaluru"}
+
+
+def test_frequent_typo_keeps_its_entry(spark, rows, tables, tmp_path):
+    """The queries map a typo alike on few rows and on many."""
+    data = [(i, None, "Bangalor") for i in range(60)] + [(100 + i, None, "Bengalru") for i in range(5)] + [(200, None, "Nagaur")]
+    named = zip(("sample_rounds", "ref_sectors", "ref_cities"), (rows("sample_no long, sector string, city string", *data), *tables))
+    for name, df in named:
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {r["sample_no"]: r["ref_key"] for r in queries.p1_found(spark, str(tmp_path)).collect()}
+    assert got == {i: "Bengaluru" for i in [*range(60), *range(100, 105)]} | {200: "unmatched"}
