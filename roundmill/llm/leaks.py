@@ -66,7 +66,11 @@ class Index:
     """The items' words as numbers, and where each three neighbouring words of theirs stand, sorted by code."""
 
     def __init__(self, items: dict[int, list[str]]):
-        self.keys, self.words, self.marks = list(items), list(items.values()), index_terms(items)
+        texts: dict[tuple[str, ...], list[int]] = defaultdict(list)  # copies of an item count once and are reported each
+        for i, words in items.items():
+            texts[tuple(words)].append(i)
+        self.keys, self.words = list(texts.values()), [list(words) for words in texts]
+        self.marks = index_terms(dict(enumerate(self.words)))
         self.number = {w: k for k, w in enumerate(dict.fromkeys(w for words in self.words for w in words))}
         self.ids = [np.array([self.number[w] for w in words], dtype=np.int32) for words in self.words]
         self.weight = np.array([(1 if w.isdecimal() else 2) * (w in self.marks) for w in self.number], dtype=np.int8)
@@ -101,11 +105,11 @@ class Index:
         doc, out = words_of(text), []
         held, places = self.places(doc)
         for k, offsets in places.items():
-            if (self.weight * held)[self.ids[k]].sum() < 2:  # no mark of the item anywhere in the text
-                continue
-            n = max(longest_passage(self.words[k], doc, offset, self.marks) for offset in offsets)
+            n = 0
+            if self.weight[self.ids[k][held[self.ids[k]]]].sum() > 1:  # else no mark of the item stands anywhere in the text
+                n = max(longest_passage(self.words[k], doc, offset, self.marks) for offset in offsets)
             if n >= least - 2:
-                out.append((self.keys[k], n))
+                out += [(i, n) for i in self.keys[k]]
         return out
 
 

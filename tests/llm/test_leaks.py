@@ -68,6 +68,12 @@ def test_part_that_leaked_everywhere(rows):
     assert got == {(i, 3) for i in range(200)} | {(900, 5)}
 
 
+def test_copies_of_items():
+    """An item under four ids keeps its marks and is reported under each."""
+    index = leaks.Index({i: leaks.words_of(ITEMS[max(i, 3)]) for i in range(40)})
+    assert {i for i, _ in index.found(f"{FILL} {ITEMS[3]}", 15)} == {0, 1, 2, 3}
+
+
 @pytest.mark.parametrize(("n", "changed"), [(15, (k,)) for k in range(15)] + [(15, (a, b)) for a in range(1, 14) for b in range(a + 1, 14)] + [(20, (3, 7)), (20, (1, 18)), (16, (2, 13))])
 def test_changes_anywhere(n, changed):
     """One or two changed words lose no passage, wherever they stand."""
