@@ -73,6 +73,13 @@ def scale_of(form: Column) -> Column:
     return out
 
 
+def _mentions(text: Column, other_sum: str) -> Column:
+    """The mentions of a sum with a currency, in order, without sentences about other sums and without one at the cut."""
+    whole = F.regexp_replace(text, CUT_MARK, "")
+    kept = F.array_join(F.filter(sentences(whole), lambda s: ~s.rlike(other_sum)), " ")
+    return F.regexp_replace(kept, rf"{MONEY_WITH_CURRENCY}\s*$", "")
+
+
 def stated_sum(text: Column, other_sum: str = OTHER_SUM) -> Column:
     """The sum that the text says was raised: struct<value double, currency string>, or null.
 
@@ -81,18 +88,45 @@ def stated_sum(text: Column, other_sum: str = OTHER_SUM) -> Column:
     such mention. A mention that stands where the text was cut off may lack digits or its scale, so
     it gives null too.
     """
-    whole = F.regexp_replace(text, CUT_MARK, "")
-    kept = F.array_join(F.filter(sentences(whole), lambda s: ~s.rlike(other_sum)), " ")
-    kept = F.regexp_replace(kept, rf"{MONEY_WITH_CURRENCY}\s*$", "")
-    mention = F.regexp_extract(kept, MONEY_WITH_CURRENCY, 0)
-    return parse_money(mention)
+    return parse_money(F.regexp_extract(_mentions(text, other_sum), MONEY_WITH_CURRENCY, 0))
+
+
+def readings_of(text: Column, other_sum: str = OTHER_SUM) -> Column:
+    """Every way to read the sum raised: array<struct<value, currency, prior>>, the likeliest first; empty if there is none.
+
+    Mentions as in ``stated_sum``; each later one is a tenth as likely as the one before. A lone comma before one or two
+    digits is a decimal comma, before three digits a separator of thousands, and with little prior the other of the two.
+    """
+    mentions = F.regexp_extract_all(_mentions(text, other_sum), F.lit(MONEY_WITH_CURRENCY), F.lit(0))
+    words = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in (kv[0], float(kv[1]))])
+    # each step names its parts, so that no pattern is matched twice
+    cut_up = F.transform(mentions, lambda m: F.struct(*[F.regexp_extract(m, MONEY, i).alias(f"g{i}") for i in range(1, 6)]))
+    named = F.transform(cut_up, lambda g: F.struct(
+        g["g2"].alias("digits"), F.try_element_at(words, F.lower(g["g3"])).alias("word"), scale_of(g["g4"]).alias("scale"),
+        currency_of(F.when(g["g1"] != "", g["g1"]).otherwise(g["g5"])).alias("currency"), F.regexp_extract(g["g2"], r"^\d{1,3},(\d{3})$|^\d+,\d{1,2}$", 0).alias("lone")))
+    plain = lambda m: F.regexp_replace(m["digits"], ",", "").try_cast("double")
+    point = lambda m: F.regexp_replace(m["digits"], ",", ".").try_cast("double")
+    one = lambda m, number, prior: F.struct((number * m["scale"]).alias("value"), m["currency"].alias("currency"), prior.alias("prior"))
+
+    def read(m: Column, at: Column) -> Column:
+        place = F.pow(F.lit(0.1), at.cast("double"))
+        thousands = F.substring(m["lone"], -4, 1) == ","
+        both = F.when(thousands, F.array(one(m, plain(m), 0.97 * place), one(m, point(m), 0.03 * place))).otherwise(F.array(one(m, point(m), 0.97 * place), one(m, plain(m), 0.03 * place)))
+        return F.when(m["lone"] != "", both).otherwise(F.array(one(m, F.coalesce(plain(m), m["word"]), place)))
+
+    found = F.filter(F.flatten(F.transform(named, read)), lambda m: m["value"].isNotNull() & m["currency"].isNotNull())
+    return F.coalesce(found, F.array().cast("array<struct<value:double,currency:string,prior:double>>"))
 
 
 def parse_money(mention: Column) -> Column:
-    """struct<value, currency> of one mention such as ``Rs. 9.5 cr`` or ``three million dollars``; null if it is none."""
+    """struct<value, currency> of one mention such as ``Rs. 9.5 cr`` or ``three million dollars``; null if it is none.
+
+    A lone comma before one or two digits is a decimal comma, other commas separate thousands.
+    """
     part = lambda i: F.regexp_extract(mention, MONEY, i)
     words = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in (kv[0], float(kv[1]))])
-    number = F.coalesce(F.regexp_replace(part(2), ",", "").try_cast("double"), F.try_element_at(words, F.lower(part(3))))
+    decimal = part(2).rlike(r"^\d+,\d{1,2}$")
+    number = F.coalesce(F.regexp_replace(part(2), ",", F.when(decimal, ".").otherwise("")).try_cast("double"), F.try_element_at(words, F.lower(part(3))))
     currency = F.coalesce(currency_of(part(1)), currency_of(part(5)))
     value = number * scale_of(part(4))
     return F.when(value.isNotNull() & currency.isNotNull(), F.struct(value.alias("value"), currency.alias("currency")))

@@ -56,7 +56,7 @@ def _stated_sums_sql() -> str:
     edge, number = r"(?:[^\p{L}\p{N}]|$)", r"\d[\d,]*(?:\.\d+)?"
     mention = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:({currency})\s*({number})(?:\s*({scale}){edge})?|({number}|(?:{words}))(?:\s*({scale}))?\s+({currency}){edge})"
     case = lambda x, forms, last: "CASE " + " ".join(f"WHEN regexp_full_match({x}, '(?i)(?:{p})') THEN {v!r}" for v, p in forms) + f"{last} END"
-    spoken = "CASE lower(n) " + " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in money.NUMBER_WORDS.items()) + " ELSE TRY_CAST(replace(n, ',', '') AS DOUBLE) END"
+    spoken = "CASE lower(n) " + " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in money.NUMBER_WORDS.items()) + r" ELSE TRY_CAST(replace(n, ',', CASE WHEN regexp_full_match(n, '\d+,\d{1,2}') THEN '.' ELSE '' END) AS DOUBLE) END"
     return rf"""WITH s AS (SELECT record_id, amount_usd, ' ' || array_to_string(list_filter(string_split(regexp_replace(regexp_replace(summary, '{money.CUT_MARK}', ''), '([.!?])\s+(\p{{Lu}})', '\1' || chr(1) || '\2', 'g'), chr(1)),
 lambda x: NOT regexp_matches(x, '{money.OTHER_SUM}')), ' ') AS t FROM funding_rounds WHERE summary IS NOT NULL),
 m AS (SELECT record_id, amount_usd, t, regexp_extract(t, '{mention}', ['c1', 'n1', 's1', 'n2', 's2', 'c2']) AS g, regexp_extract(t, '{mention}', 0) AS whole FROM s),
