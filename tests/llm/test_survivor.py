@@ -58,3 +58,13 @@ def test_quality_is_recovered():
     model = survivor.infer_quality([(tuple(p), int(c)) for p, c in zip(patterns, counts)], 400)
     assert np.allclose(model["sens"], sens, atol=0.06) and np.allclose(model["spec"], spec, atol=0.06) and abs(model["prior"] - 0.4) < 0.05
     assert survivor.infer_quality([])["prior"] == 0.5
+
+
+def test_posterior_decides(tables):
+    """With one posterior for all claims, most survivors are others: the model makes the choice."""
+    from pyspark.sql import functions as F
+
+    judged = survivor.judged_members(*tables)
+    pick = lambda df: {(r["group_id"], r["field_name"]): r["record_id"] for r in survivor.surviving_values(df).collect()}
+    own, flat = pick(judged), pick(judged.withColumn("posterior", F.lit(1.0)))
+    assert sum(own[k] != flat.get(k) for k in own) >= len(own) // 2
