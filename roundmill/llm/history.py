@@ -1,10 +1,11 @@
-"""New batches checked against everything accepted before, without reading that again in full.
-
-Every record leaves keys in a persisted index: exact keys (its address, its id) and the keys of the bands of
-its minwise signature, each with what is needed to verify a hit. The index is stored by the hash of the
-key; a new batch reads only the buckets of its own keys, hits are verified, and the batch's keys are added.
-Copies leave one entry: per key and content only the earliest record is kept, so a page fetched a
-million times costs no pairs.
+"""New batches checked against everything accepted before, without reading that again.
+
+Every record leaves keys in a persisted index: exact keys (its address, its id) and the keys of the bands of its
+minwise signature. Keys are stored by the hash of the key, signatures and other marks by the hash of the id. A batch
+reads only the buckets of its own keys and of the records it hits, hits are verified, and then its keys are
+added. A repeat is entered under the record that it repeats, so a chain of revisions of any length leads back to
+its first page at one look, and under one key every class of pages has one entry: a page revised a million
+times costs no pairs.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ from pyspark.sql import types as T
 from roundmill.functions.urls import canonical_url, page_number
 from roundmill.llm.name_parts import close, parts_of, sound_of
 from roundmill.operators.units import convert_units
-from roundmill.runtime import checkpoint_dir, cut
+from roundmill.runtime import checkpoint_dir, collect_bounded, cut
 
-BUCKETS = 32  # of the persisted index
+BUCKET_RECORDS, MOST_BUCKETS = 250, 4096  # records of the first batch to a bucket of the index; most buckets
 PAGE_BANDS, PAGE_ROWS = 20, 4  # finds a similarity of 0.8 with 0.99997, of 0.65 with 0.975
 NAME_BANDS, NAME_ROWS = 12, 2  # of a name's letter pairs: one edit in nine letters is found with 0.98 and more
 SIMILAR = 0.6  # of two pages' signatures; a lightly revised page counts, other pages of a site stay below 0.4
+REPRESENTED = 0.8  # of a batch, pages as alike as this are entered under one of them
 SHINGLE = 5
 BODY_WORDS = 9  # lines with fewer words are furniture, not the report
+MAX_BATCHES = 10_000  # batches replayed by one call
 DAYS, PERCENT = 3, 0.10  # slips of a deal's day and sum
 
 _rng = np.random.default_rng(20240229)
@@ -96,7 +99,8 @@ def _page_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 #: What is kept of a record: its exact keys, its band keys, and what verifies a hit.
 RECORD = "id long, batch_no int, exact array<bigint>, bands array<bigint>, sig binary, core string, type string, day int, usd double, raw string, recorded double"
-KEY = "key bigint, exact boolean, batch_no int, id long, bucket int"
+KEY = "key bigint, exact boolean, id long, first_batch int, first_id long, bucket int"
+MARKS = ["sig", "core", "type", "day", "usd", "raw", "recorded"]
 
 
 def _records(df: DataFrame, **columns) -> DataFrame:  # noqa: ANN003
@@ -167,45 +171,89 @@ def _name_edits(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 class History:
-    """The persisted index of one kind of record, in a folder all executors share: band keys by the hash of the key,
-    signatures and other marks of the records by the hash of the id."""
+    """The persisted index of one kind of record, in a folder all executors share. The number of buckets is set by the size
+    of the first batch."""
 
     def __init__(self, spark: SparkSession, kind: str, path: str | None = None) -> None:
         self.spark, self.kind = spark, kind
         self.path = path or f"{checkpoint_dir(spark)}/history-{kind}-{uuid.uuid4().hex}"
-        self.parts = 0
+        self.parts, self.buckets = 0, 0
+
+    def _bucket(self, c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(self.buckets)).cast("int")
 
     def _keys(self, records: DataFrame, asked: bool) -> DataFrame:
         own = F.col("bands") if self.kind == "article" else _deal_keys()[asked]
         tagged = F.concat(F.transform("exact", lambda k: F.struct(k.alias("key"), F.lit(True).alias("exact"))), F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(False).alias("exact"))))
-        content = F.xxhash64("sig", "core", "type", "day", "usd", "raw", "recorded")
-        rows = records.select("batch_no", "id", content.alias("content"), F.explode(tagged).alias("k"))
-        return rows.select("batch_no", "id", F.when(F.col("k.exact"), F.lit(0).cast("bigint")).otherwise(F.col("content")).alias("content"), "k.key", "k.exact").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
-
-    def append(self, records: DataFrame) -> None:
-        """Add accepted records. Of records with one key and one content only the earliest is entered under it."""
-        marks = [c.split(" ")[0] for c in RECORD.split(", ") if c.split(" ")[0] not in ("exact", "bands", "batch_no")]
-        records.select(*marks).write.mode("append").parquet(f"{self.path}/records")
-        first = self._keys(records, False).groupBy("bucket", "key", "exact", "content").agg(F.min(F.struct("batch_no", "id")).alias("f"))
-        first.select("bucket", "key", "exact", "f.batch_no", "f.id").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
+        rows = records.select("batch_no", "id", F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
+        return rows.select("batch_no", "id", "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
+
+    def _asked(self, df: DataFrame, name: str, what: str) -> list[int]:
+        """The buckets in which rows are asked for; there are no more than MOST_BUCKETS."""
+        return [r[0] for r in collect_bounded(df.select(name).distinct(), MOST_BUCKETS, what)]
+
+    def _likely(self, both: DataFrame, least: float = SIMILAR) -> DataFrame:
+        """Of pairs with their marks p and q those that are alike."""
+        return both.where(_likeness("p.sig", "q.sig") >= least) if self.kind == "article" else both.where(self._deals()).where(_name_edits("p.core", "q.core") <= 1)
+
+    def append(self, records: DataFrame, found: DataFrame | None = None) -> None:
+        """Add a batch. ``found`` (first_batch, first_id, second_id) are the repeats among it: they are entered under the
+        record they repeat. Of records with one key, one content and one first record only the earliest is entered; so
+        are, under one key, pages that are all but equal to the earliest page of the batch there."""
+        if not self.buckets:
+            wanted = max(8, records.count() // BUCKET_RECORDS)
+            self.buckets = min(MOST_BUCKETS, 1 << (wanted - 1).bit_length())
+        records.select("id", *MARKS).withColumn("bucket", self._bucket(F.col("id"))).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/records")
+        keys = self._keys(records, False)
+        if found is not None:
+            keys = keys.join(found.withColumnRenamed("second_id", "id"), "id", "left")
+            first = F.struct(F.coalesce("first_batch", "batch_no").alias("batch_no"), F.coalesce("first_id", "id").alias("id"))
+        else:
+            first = F.struct("batch_no", "id")
+        keys = keys.withColumn("first", first)
+        if self.kind == "article":
+            # one entry per key and class: a page all but equal to the earliest one under a key of its own batch is of its class
+            fresh = keys.where("not exact").groupBy("key", "content").agg(F.min("id").alias("id"), F.min("first").alias("first"))
+            lead = fresh.groupBy("key").agg(F.min(F.struct("first", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+            pairs = fresh.join(lead, "key").where("id <> lead.id").select("id", F.col("lead.id").alias("other"), F.col("lead.first").alias("lead_first")).distinct()
+            marks = lambda name, column: records.select(F.col("id").alias(column), F.struct(*MARKS).alias(name)).dropDuplicates([column])
+            near = self._likely(pairs.join(marks("p", "id"), "id").join(marks("q", "other"), "other"), REPRESENTED)
+            near = near.groupBy("id").agg(F.min("lead_first").alias("lead_first"))
+            keys = keys.join(near, "id", "left").withColumn("first", F.coalesce(F.least("first", "lead_first"), "first")).drop("lead_first")
+            content = F.lit(0).cast("bigint")
+        else:
+            content = F.when(F.col("exact"), F.lit(0).cast("bigint")).otherwise(F.col("content"))
+        entered = keys.groupBy("bucket", "key", "exact", content.alias("content"), "first").agg(F.min("id").alias("id"))
+        entered = entered.select("key", "exact", "id", F.col("first.batch_no").alias("first_batch"), F.col("first.id").alias("first_id"), "bucket")
+        entered.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
         self.parts += 1
 
     def probe(self, records: DataFrame) -> DataFrame:
-        """(first_id, second_id) of the records that repeat one of an earlier batch; the earliest such record counts."""
+        """(first_id, second_id, first_batch) of the records that repeat one of those added before; the earliest such one counts."""
         if not self.parts:
-            return self.spark.createDataFrame([], "first_id long, second_id long")
-        new = records.where("batch_no > 0")
-        asked = self._keys(new, True).select("bucket", "key", F.col("batch_no").alias("now"), F.col("id").alias("second_id"))
-        hits = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").join(asked, ["bucket", "key"]).where("batch_no < now and id <> second_id")
-        pairs = hits.groupBy("batch_no", "id", "second_id").agg(F.max("exact").alias("exact"))
-        marks = ["sig", "core", "type", "day", "usd", "raw", "recorded"]
-        known = self.spark.read.schema(RECORD).parquet(f"{self.path}/records").select("id", F.struct(*marks).alias("p"))
-        both = cut(pairs).join(known, "id").join(new.select(F.col("id").alias("second_id"), F.struct(*marks).alias("q")), "second_id")
-        sure = both.where("exact").select("batch_no", "id", "second_id")
-        loose = both.where("not exact")
-        fit = loose.where(_likeness("p.sig", "q.sig") >= SIMILAR) if self.kind == "article" else loose.where(self._deals()).where(_name_edits("p.core", "q.core") <= 1)
-        found = sure.unionByName(fit.select("batch_no", "id", "second_id"))
-        return found.groupBy("second_id").agg(F.min(F.struct("batch_no", "id")).alias("m")).select(F.col("m.id").alias("first_id"), "second_id")
+            return self.spark.createDataFrame([], "first_id long, second_id long, first_batch int")
+        asked = cut(self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id")).distinct())
+        stored = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").where(F.col("bucket").isin(self._asked(asked, "bucket", "buckets of keys")))
+        hits = stored.join(asked, ["bucket", "key"]).where("id <> second_id")
+        pairs = hits.groupBy("id", "second_id").agg(F.max("exact").alias("exact"), F.min(F.struct("first_batch", "first_id")).alias("first"))
+        pairs = cut(pairs.withColumn("bucket", self._bucket(F.col("id"))))
+        known = self.spark.read.schema("id long, sig binary, core string, type string, day int, usd double, raw string, recorded double, bucket int").parquet(f"{self.path}/records")
+        loose = pairs.where("not exact")
+        known = known.where(F.col("bucket").isin(self._asked(loose, "bucket", "buckets of records"))).select("bucket", "id", F.struct(*MARKS).alias("p")).dropDuplicates(["bucket", "id"])
+        both = loose.join(known, ["bucket", "id"]).join(records.select(F.col("id").alias("second_id"), F.struct(*MARKS).alias("q")), "second_id")
+        alike = pairs.where("exact").select("first", "second_id").unionByName(self._likely(both).select("first", "second_id"))
+        return alike.groupBy("second_id").agg(F.min("first").alias("m")).select(F.col("m.first_id").alias("first_id"), "second_id", F.col("m.first_batch").alias("first_batch"))
+
+    def add(self, records: DataFrame) -> DataFrame:
+        """Probe a batch, then append it; gives its repeats."""
+        found = cut(self.probe(records))
+        self.append(records, found)
+        return found
+
+    def drop(self) -> None:
+        """Delete the stored index."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     @staticmethod
     def _deals() -> Column:
@@ -220,27 +268,36 @@ class History:
         return fits & kind
 
 
-def first_of_all(pairs: DataFrame, hops: int = 2) -> DataFrame:
-    """Where the earlier record is itself a repeat, take the record that it repeats."""
-    pairs = cut(pairs)
-    for _ in range(hops):
+def first_of_all(pairs: DataFrame) -> DataFrame:
+    """Where the earlier record is itself a repeat, take the record that it repeats, until none is."""
+    pairs = cut(pairs.select("first_id", "second_id"))
+    while True:
         up = pairs.select(F.col("second_id").alias("first_id"), F.col("first_id").alias("older"))
-        pairs = pairs.join(up, "first_id", "left").select(F.coalesce("older", "first_id").alias("first_id"), "second_id")
-    return pairs
+        moved = cut(pairs.join(up, "first_id", "left").select(F.coalesce("older", "first_id").alias("first_id"), "second_id", F.col("older").isNotNull().alias("moved")))
+        pairs = moved.drop("moved")
+        if moved.where("moved").limit(1).count() == 0:
+            return pairs
 
 
 def repeats(records: DataFrame, kind: str) -> DataFrame:
     """(kind, first_id, second_id) of all records of batch 1 and later that repeat one of an earlier batch.
 
-    All batches are replayed at once: their keys go into one persisted index that keeps the batch of every entry,
-    and each record meets only entries of earlier batches. The result equals that of batch after batch.
-    Records without id or batch are left out; an empty table gives no row.
+    Batch after batch is probed and then added to an index that starts empty and is deleted at the end. Records without id
+    or batch are left out; an empty table gives no row.
     """
-    history = History(records.sparkSession, kind)
-    records.write.parquet(f"{history.path}/read")
-    stored = records.sparkSession.read.schema(RECORD).parquet(f"{history.path}/read")
-    history.append(stored)
-    return first_of_all(history.probe(stored)).select(F.lit(kind).alias("kind"), "first_id", "second_id")
+    spark = records.sparkSession
+    history = History(spark, kind)
+    records.write.partitionBy("batch_no").parquet(f"{history.path}/read")
+    stored = spark.read.schema(RECORD).parquet(f"{history.path}/read")
+    batches = sorted(r[0] for r in collect_bounded(stored.select("batch_no").distinct(), MAX_BATCHES, "batches"))
+    out = spark.createDataFrame([], "first_id long, second_id long")
+    for batch in batches:
+        now = stored.where(F.col("batch_no") == batch)
+        found = history.add(now) if batch != batches[-1] else cut(history.probe(now))
+        if batch > 0:
+            out = out.unionByName(found.select("first_id", "second_id"))
+    history.drop()
+    return out.select(F.lit(kind).alias("kind"), "first_id", "second_id")
 
 
 def repeated_records(articles: DataFrame, rounds: DataFrame, rates: DataFrame) -> DataFrame:
