@@ -21,10 +21,8 @@ from roundmill.runtime import broadcast_if_small, cut
 
 MAX_DICTIONARY_ROWS = 500_000  # the delete dictionary is broadcast up to this size and shuffled beyond it
 LONG = 12  # phrases from this length on may differ by two edits, shorter ones by one
-LONGEST = 40  # phrases beyond this length must match exactly
+LONGEST = 40  # phrases beyond this length have segments for keys instead of deletes, whose number grows with the square
 SHORT = 4  # phrases below this length must match exactly
-OWN_NAME_TIMES, OWN_NAME_LEAST = 4, 30
-CHANGED = 0.8  # least cost of another letter; swapped and doubled letters are slips however frequent
 
 # Common short forms of the reference cities that a list of former names lacks.
 CITY_ALIASES = {
@@ -53,14 +51,21 @@ def words_of(text: str) -> list[str]:
     return re.sub(r"[^\w]+|_", " ", re.sub(r"['’`]", "", plain)).split()
 
 
-def runs_of(text: str) -> set[str]:
-    """Every run of up to six neighbouring words, written without spaces."""
-    words = words_of(text)
-    return {"".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 6) + 1)}
+def runs_of(text: str, longest: int) -> set[str]:
+    """Every run of neighbouring words, written without spaces, of up to ``longest`` signs; longer ones fit no phrase."""
+    words, out = words_of(text), set()
+    for i in range(len(words)):
+        run = ""
+        for word in words[i:]:
+            run += word
+            if len(run) > longest:
+                break
+            out.add(run)
+    return out
 
 
 def allowed_edits(length: int) -> int:
-    return 0 if length < SHORT or length > LONGEST else 1 if length < LONG else 2
+    return 0 if length < SHORT else 1 if length < LONG else 2
 
 
 def delete_keys(phrase: str) -> set[str]:
@@ -68,6 +73,26 @@ def delete_keys(phrase: str) -> set[str]:
     return {"".join(c for i, c in enumerate(phrase) if i not in gone) for k in range(allowed_edits(len(phrase)) + 1) for gone in combinations(range(len(phrase)), k)}
 
 
+def _segments(length: int) -> list[tuple[int, int]]:
+    """Bounds of the three segments of a long phrase, one of which two edits leave whole."""
+    return [(length * i // 3, length * (i + 1) // 3) for i in range(3)]
+
+
+def phrase_keys(phrase: str) -> set[str]:
+    n = len(phrase)
+    return delete_keys(phrase) if n <= LONGEST else {f"{n}:{i}:{phrase[a:b]}" for i, (a, b) in enumerate(_segments(n))}
+
+
+def run_keys(run: str) -> set[str]:
+    """Keys under which every phrase within the allowed edits of the run stands: deletes, and beyond LONGEST the run's
+    substrings at the places of a phrase's segments, shifted by up to two signs."""
+    n = len(run)
+    out = delete_keys(run) if n <= LONGEST + 2 else set()
+    for length in range(max(LONGEST + 1, n - 2), n + 3):
+        out |= {f"{length}:{i}:{run[a + s : b + s]}" for i, (a, b) in enumerate(_segments(length)) for s in range(-2, 3) if a + s >= 0}
+    return out
+
+
 def weighted_distance(a: str, b: str, limit: int) -> float:
     """Damerau-Levenshtein distance (neighbours swapped count once) with weights: a swap 0.7, a letter doubled
     or undoubled 0.5, a vowel for a vowel 0.8, any other edit 1. Above ``limit`` unweighted edits: infinity."""
@@ -95,8 +120,8 @@ def weighted_distance(a: str, b: str, limit: int) -> float:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _runs(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: list(runs_of(t)) if t else [])
+def _runs(text: pd.Series, longest: pd.Series) -> pd.Series:
+    return pd.Series([list(runs_of(t, n)) if t else [] for t, n in zip(text, longest)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
@@ -105,8 +130,13 @@ def _plain(text: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _keys(plain: pd.Series) -> pd.Series:
-    return plain.map(lambda p: list(delete_keys(p)) if p else [])
+def _phrase_keys(plain: pd.Series) -> pd.Series:
+    return plain.map(lambda p: list(phrase_keys(p)) if p else [])
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _run_keys(plain: pd.Series) -> pd.Series:
+    return plain.map(lambda p: list(run_keys(p)) if p else [])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -123,46 +153,39 @@ def reference_phrases(sectors: DataFrame, cities: DataFrame) -> DataFrame:
     city = cities.select(F.lit("city").alias("field_name"), F.explode(column(one("ref_key"), F.col("also_known_as"))).alias("phrase"), "ref_key")
     known = cities.select("ref_key").distinct()
     extra = spark.createDataFrame([("city", a, k, False) for k, names in CITY_ALIASES.items() for a in names] + [("city", c, k, True) for c, k in CITY_CODES.items()], "field_name string, phrase string, ref_key string, whole boolean")
-    extra = extra.join(F.broadcast(known.limit(100_000)), "ref_key", "left_semi")
+    extra = extra.join(broadcast_if_small(known, MAX_DICTIONARY_ROWS), "ref_key", "left_semi")
     other = spark.createDataFrame([("city", p, None, True) for p in OTHER_PLACES], "field_name string, phrase string, ref_key string, whole boolean")
     return sector.unionByName(city).withColumn("whole", F.lit(False)).unionByName(extra).unionByName(other).where("phrase is not null")
 
 
-def map_values(values: DataFrame, phrases: DataFrame, *, own_by_count: bool = True) -> DataFrame:
+def map_values(values: DataFrame, phrases: DataFrame) -> DataFrame:
     """(field_name, value, n) to (field_name, value, n, ref_key, cost): ref_key is ``unmatched`` where no entry fits.
 
     ``values`` holds each (field_name, value) once with its number of rows. Ties go to the smaller weighted
     distance, then the longer run of words, then the reference written more often, then the smaller ref_key.
-    With ``own_by_count`` a spelling with another letter than its entry that is far more frequent than every other such
-    misspelling of that entry is a name of its own and stays unmatched; this depends on the number of rows, so the queries
-    do without it and only the listed other places are names of their own. Values without letters or digits are
-    unmatched; an empty list leaves all unmatched; an empty table gives no row.
+    The number of rows of a spelling never decides whether it has an entry; only the listed other places are names of
+    their own. Values without letters or digits are unmatched; an empty list leaves all unmatched; an empty table gives
+    no row.
     """
     cores = max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     named = phrases.select("field_name", "ref_key", "whole", _plain("phrase").alias("phrase")).where("phrase <> ''").distinct()
-    dictionary = named.select("*", F.explode(_keys("phrase")).alias("key"))
-    typed = values.select("field_name", "value", F.explode(_runs("value")).alias("run"))
+    dictionary = named.select("*", F.explode(_phrase_keys("phrase")).alias("key"))
+    longest = 2 + (named.agg(F.max(F.length("phrase"))).first()[0] or 0)
+    typed = values.select("field_name", "value", F.explode(_runs("value", F.lit(longest))).alias("run"))
     # each distinct run is looked up once; runs are few bytes but much work, so they are dealt out whatever their size
     runs = typed.select("field_name", "run").distinct().repartition(cores, "field_name", "run")
-    met = runs.select("field_name", "run", F.explode(_keys("run")).alias("key")).join(broadcast_if_small(dictionary, MAX_DICTIONARY_ROWS), ["field_name", "key"]).select("field_name", "run", "phrase", "ref_key", "whole").distinct()
+    met = runs.select("field_name", "run", F.explode(_run_keys("run")).alias("key")).join(broadcast_if_small(dictionary, MAX_DICTIONARY_ROWS), ["field_name", "key"]).select("field_name", "run", "phrase", "ref_key", "whole").distinct()
     near = met.repartition(cores).withColumn("cost", F.when(F.col("run") == F.col("phrase"), F.lit(0.0)).otherwise(_distance("run", "phrase"))).where("cost < 10")
     pairs = typed.join(cut(near), ["field_name", "run"])
-    weights = values.select("field_name", F.col("value").alias("shown"), F.col("n").alias("frequency"))
+    # how often an entry is written in one of its own names
+    weights = values.select("field_name", _plain("value").alias("phrase"), "n").join(named.select("field_name", "phrase", "ref_key").distinct(), ["field_name", "phrase"]).groupBy("field_name", "ref_key").agg(F.sum("n").alias("frequency"))
     head = F.lower(F.regexp_replace(F.split("value", ",")[0], r"[^\p{L}\p{N}]", ""))
     fits = ~F.col("whole") | ((F.col("cost") == 0) & (head == F.col("run")))
-    pairs = pairs.where(fits).join(weights, (pairs.field_name == weights.field_name) & (pairs.ref_key == weights.shown), "left").select(pairs["*"], "frequency")
+    pairs = pairs.where(fits).join(broadcast_if_small(weights, MAX_DICTIONARY_ROWS), ["field_name", "ref_key"], "left")
     rank = F.struct("cost", -F.length("run"), F.when(F.col("ref_key").isNull(), 0).otherwise(1), -F.coalesce("frequency", F.lit(0)), "ref_key")
     best = pairs.groupBy("field_name", "value").agg(F.min_by(F.struct("ref_key", "cost", "run"), rank).alias("b"))
-    mapped = values.join(best, ["field_name", "value"], "left").select("field_name", "value", "n", F.col("b.ref_key").alias("ref_key"), F.col("b.cost").alias("cost"), F.col("b.run").alias("run"))
-    if not own_by_count:
-        return mapped.drop("run").fillna("unmatched", ["ref_key"])
-    # names of their own: counts of each misspelling, per entry
-    spelled = mapped.where(F.col("cost") >= CHANGED).groupBy("field_name", "ref_key", "run").agg(F.sum("n").alias("n"))
-    top = spelled.groupBy("field_name", "ref_key").agg(F.sort_array(F.slice(F.sort_array(F.collect_list(F.struct("n", "run")), False), 1, 2), False).alias("t"))
-    own = top.where((F.col("t")[0]["n"] >= OWN_NAME_LEAST) & (F.size("t") > 1) & (F.col("t")[0]["n"] >= OWN_NAME_TIMES * F.try_element_at("t", F.lit(2))["n"])).select("field_name", "ref_key", F.col("t")[0]["run"].alias("own_run"))
-    mapped = mapped.join(own, ["field_name", "ref_key"], "left")
-    is_own = (F.col("cost") >= CHANGED) & F.col("own_run").isNotNull() & (F.col("own_run") == F.col("run"))
-    return mapped.select("field_name", "value", "n", F.when(is_own, None).otherwise(F.col("ref_key")).alias("ref_key"), "cost").fillna("unmatched", ["ref_key"])
+    mapped = values.join(best, ["field_name", "value"], "left").select("field_name", "value", "n", F.col("b.ref_key").alias("ref_key"), F.col("b.cost").alias("cost"))
+    return mapped.fillna("unmatched", ["ref_key"])
 
 
 def stacked(sample: DataFrame) -> DataFrame:
@@ -171,13 +194,13 @@ def stacked(sample: DataFrame) -> DataFrame:
     return sample.select("sample_no", F.explode(F.array(pair("sector"), pair("city"))).alias("x")).select("sample_no", "x.field_name", "x.value").where("value is not null")
 
 
-def canonical_values(sample: DataFrame, sectors: DataFrame, cities: DataFrame, *, own_by_count: bool = True) -> DataFrame:
+def canonical_values(sample: DataFrame, sectors: DataFrame, cities: DataFrame) -> DataFrame:
     """(sample_no, field_name, value, ref_key, cost) for each non-null sector and city; ``unmatched`` where none is meant.
 
-    Null values give no row; empty and blank ones are unmatched; repeated rows stay; ``own_by_count`` as in map_values.
+    Null values give no row; empty and blank ones are unmatched; repeated rows stay.
     """
     long = stacked(sample)
-    mapped = map_values(long.groupBy("field_name", "value").agg(F.count("*").alias("n")), reference_phrases(sectors, cities), own_by_count=own_by_count)
+    mapped = map_values(long.groupBy("field_name", "value").agg(F.count("*").alias("n")), reference_phrases(sectors, cities))
     return long.join(mapped.drop("n"), ["field_name", "value"]).select("sample_no", "field_name", "value", "ref_key", "cost")
 
 

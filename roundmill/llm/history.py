@@ -24,12 +24,13 @@ from pyspark.sql import types as T
 from roundmill.functions.urls import canonical_url, page_number
 from roundmill.llm.name_parts import close, parts_of, sound_of
 from roundmill.operators.units import convert_units
-from roundmill.runtime import checkpoint_dir, collect_bounded, cut
+from roundmill.runtime import broadcast_if_small, checkpoint_dir, collect_bounded, cut
 
-BUCKET_RECORDS, MOST_BUCKETS = 250, 4096  # records of the first batch to a bucket of the index; most buckets
+BUCKET_RECORDS, MOST_BUCKETS = 2000, 4096  # records of the first batch to a bucket of the index; most buckets
 PAGE_BANDS, PAGE_ROWS = 20, 4  # finds a similarity of 0.8 with 0.99997, of 0.65 with 0.975
 NAME_BANDS, NAME_ROWS = 12, 2  # of a name's letter pairs: one edit in nine letters is found with 0.98 and more
 SIMILAR = 0.6  # of two pages' signatures; a lightly revised page counts, other pages of a site stay below 0.4
+SMALL = 500_000  # rows of numbers, no texts, that are broadcast at most; more are joined by a shuffle
 REPRESENTED = 0.8  # of a batch, pages as alike as this are entered under one of them
 SHINGLE = 5
 BODY_WORDS = 9  # lines with fewer words are furniture, not the report
@@ -185,8 +186,9 @@ class History:
     def _keys(self, records: DataFrame, asked: bool) -> DataFrame:
         own = F.col("bands") if self.kind == "article" else _deal_keys()[asked]
         tagged = F.concat(F.transform("exact", lambda k: F.struct(k.alias("key"), F.lit(True).alias("exact"))), F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(False).alias("exact"))))
-        rows = records.select("batch_no", "id", F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
-        return rows.select("batch_no", "id", "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
+        first = ["first"] if "first" in records.columns else []
+        rows = records.select("id", *first, F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
+        return rows.select("id", *first, "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
 
     def _asked(self, df: DataFrame, name: str, what: str) -> list[int]:
         """The buckets in which rows are asked for; there are no more than MOST_BUCKETS."""
@@ -204,49 +206,52 @@ class History:
             wanted = max(8, records.count() // BUCKET_RECORDS)
             self.buckets = min(MOST_BUCKETS, 1 << (wanted - 1).bit_length())
         records.select("id", *MARKS).withColumn("bucket", self._bucket(F.col("id"))).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/records")
-        keys = self._keys(records, False)
+        own = F.struct("batch_no", "id")
         if found is not None:
-            keys = keys.join(found.withColumnRenamed("second_id", "id"), "id", "left")
-            first = F.struct(F.coalesce("first_batch", "batch_no").alias("batch_no"), F.coalesce("first_id", "id").alias("id"))
-        else:
-            first = F.struct("batch_no", "id")
-        keys = keys.withColumn("first", first)
+            under = broadcast_if_small(found.select(F.col("second_id").alias("id"), F.struct(F.col("first_batch").alias("batch_no"), F.col("first_id").alias("id")).alias("under")), SMALL)
+            own, records = F.coalesce("under", own), records.join(under, "id", "left")
+        records = records.withColumn("first", own)
         if self.kind == "article":
-            # one entry per key and class: a page all but equal to the earliest one under a key of its own batch is of its class
-            fresh = keys.where("not exact").groupBy("key", "content").agg(F.min("id").alias("id"), F.min("first").alias("first"))
-            lead = fresh.groupBy("key").agg(F.min(F.struct("first", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-            pairs = fresh.join(lead, "key").where("id <> lead.id").select("id", F.col("lead.id").alias("other"), F.col("lead.first").alias("lead_first")).distinct()
+            # a page all but equal to the earliest one under a key of its own batch is of its class
+            fresh = self._keys(records, False).where("not exact")
+            lead = cut(fresh.groupBy("key").agg(F.min(F.struct("first", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
+            pairs = fresh.join(broadcast_if_small(lead, SMALL), "key").where("first <> lead.first").select("id", F.col("lead.id").alias("other"), F.col("lead.first").alias("lead_first")).distinct()
             marks = lambda name, column: records.select(F.col("id").alias(column), F.struct(*MARKS).alias(name)).dropDuplicates([column])
             near = self._likely(pairs.join(marks("p", "id"), "id").join(marks("q", "other"), "other"), REPRESENTED)
-            near = near.groupBy("id").agg(F.min("lead_first").alias("lead_first"))
-            keys = keys.join(near, "id", "left").withColumn("first", F.coalesce(F.least("first", "lead_first"), "first")).drop("lead_first")
+            near = cut(near.groupBy("id").agg(F.min("lead_first").alias("lead_first")))
+            records = records.join(broadcast_if_small(near, SMALL), "id", "left").withColumn("first", F.coalesce(F.least("first", "lead_first"), "first"))
             content = F.lit(0).cast("bigint")
         else:
             content = F.when(F.col("exact"), F.lit(0).cast("bigint")).otherwise(F.col("content"))
-        entered = keys.groupBy("bucket", "key", "exact", content.alias("content"), "first").agg(F.min("id").alias("id"))
+        # rows of one class under one key are taken together before they are dealt out by bucket
+        entered = self._keys(records, False).groupBy("bucket", "key", "exact", content.alias("content"), "first").agg(F.min("id").alias("id"))
         entered = entered.select("key", "exact", "id", F.col("first.batch_no").alias("first_batch"), F.col("first.id").alias("first_id"), "bucket")
         entered.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
         self.parts += 1
 
     def probe(self, records: DataFrame) -> DataFrame:
+        """(first_id, second_id) of the records that repeat one of those added before; the earliest such one counts."""
+        return self._found(records).select("first_id", "second_id")
+
+    def _found(self, records: DataFrame) -> DataFrame:
         """(first_id, second_id, first_batch) of the records that repeat one of those added before; the earliest such one counts."""
         if not self.parts:
             return self.spark.createDataFrame([], "first_id long, second_id long, first_batch int")
-        asked = cut(self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id")).distinct())
+        asked = self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id"))
         stored = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").where(F.col("bucket").isin(self._asked(asked, "bucket", "buckets of keys")))
-        hits = stored.join(asked, ["bucket", "key"]).where("id <> second_id")
+        hits = stored.join(broadcast_if_small(asked, SMALL), ["bucket", "key"]).where("id <> second_id")
         pairs = hits.groupBy("id", "second_id").agg(F.max("exact").alias("exact"), F.min(F.struct("first_batch", "first_id")).alias("first"))
         pairs = cut(pairs.withColumn("bucket", self._bucket(F.col("id"))))
         known = self.spark.read.schema("id long, sig binary, core string, type string, day int, usd double, raw string, recorded double, bucket int").parquet(f"{self.path}/records")
         loose = pairs.where("not exact")
-        known = known.where(F.col("bucket").isin(self._asked(loose, "bucket", "buckets of records"))).select("bucket", "id", F.struct(*MARKS).alias("p")).dropDuplicates(["bucket", "id"])
-        both = loose.join(known, ["bucket", "id"]).join(records.select(F.col("id").alias("second_id"), F.struct(*MARKS).alias("q")), "second_id")
+        known = known.where(F.col("bucket").isin(self._asked(loose, "bucket", "buckets of records"))).select("bucket", "id", F.struct(*MARKS).alias("p"))
+        both = known.join(broadcast_if_small(loose, SMALL), ["bucket", "id"]).dropDuplicates(["id", "second_id"]).join(records.select(F.col("id").alias("second_id"), F.struct(*MARKS).alias("q")), "second_id")
         alike = pairs.where("exact").select("first", "second_id").unionByName(self._likely(both).select("first", "second_id"))
         return alike.groupBy("second_id").agg(F.min("first").alias("m")).select(F.col("m.first_id").alias("first_id"), "second_id", F.col("m.first_batch").alias("first_batch"))
 
     def add(self, records: DataFrame) -> DataFrame:
         """Probe a batch, then append it; gives its repeats."""
-        found = cut(self.probe(records))
+        found = cut(self._found(records))
         self.append(records, found)
         return found
 

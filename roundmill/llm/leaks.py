@@ -105,14 +105,26 @@ class Index:
         doc, out = words_of(text), []
         held, places = self.places(doc)
         for k, offsets in places.items():
-            n = 0
-            if self.weight[self.ids[k][held[self.ids[k]]]].sum() > 1:  # else no mark of the item stands anywhere in the text
-                n = max(longest_passage(self.words[k], doc, offset, self.marks) for offset in offsets)
+            n = max(running_words(self.words[k], doc, offset) for offset in offsets)
+            if n < least:
+                n = 0
+                if self.weight[self.ids[k][held[self.ids[k]]]].sum() > 1:  # else no mark of the item stands anywhere in the text
+                    n = max(longest_passage(self.words[k], doc, offset, self.marks) for offset in offsets)
             if n >= least - 2:
                 out += [(i, n) for i in self.keys[k]]
         return out
 
 
+def running_words(item: list[str], doc: list[str], shift: int) -> int:
+    """The most neighbouring item words that stand in the document at the given offset, all equal."""
+    best = run = 0
+    for i in range(max(0, -shift), min(len(item), len(doc) - shift)):
+        run = run + 1 if item[i] == doc[i + shift] else 0
+        if run > best:
+            best = run
+    return best
+
+
 def aligned(item: list[str], doc: list[str], shift: int, drift: int = DRIFT) -> list[bool]:
     """Which item words stand in the document near the given offset, in order."""
     out, run = [], 0

@@ -44,10 +44,13 @@ def masked(plain: str, keep: frozenset[str]) -> str:
     return _MASKS.sub("*", " ".join(w if w in keep or w in "#@" else "*" for w in plain.split()))
 
 
-def fingerprint(text: str) -> str:
-    """Key of a document's cluster: its three longest lines in plain form, which carry the report, not the furniture."""
-    longest = sorted((plain_line(x) for x in sorted(text.split("\n"), key=len)[-3:]))
-    return hashlib.blake2b("\n".join(longest).encode(), digest_size=8).hexdigest()
+def fingerprint(lines: list[str], keep: frozenset[str]) -> int:
+    """Key of a document's cluster: the least hash of those plain lines that hold three or more words rare in the source.
+    These carry the report, so lightly revised copies mostly share the key, and notices don't make one cluster of
+    different reports. A document without such a line has the hash of all its lines."""
+    own = [line for line in lines if sum(w not in keep and w not in "#@" for w in line.split()) >= 3]
+    digest = lambda line: int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
+    return min(map(digest, own)) if own else digest("\n".join(lines))
 
 
 def _words_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,27 +63,26 @@ def _words_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(s, w, n) for (s, w), n in counts.items()], columns=["source", "word", "n"])
 
 
-def _generalised(counts: dict[str, int], need: float) -> list[str]:
-    """Wordings that reach ``need``: those that do by themselves and those that do once up to two words are masked."""
-    found = [t for t, n in counts.items() if n >= need]
+def _generalised(counts: dict[str, int], need: float) -> dict[str, set[str]]:
+    """Wordings that reach ``need``, each with the wordings counted for it: those that do by themselves and those that do
+    once up to two words are masked (two neighbours in wordings of more than 60 words)."""
+    found: dict[str, set[str]] = {t: {t} for t, n in counts.items() if n >= need}
     groups: dict[str, set[str]] = defaultdict(set)
     by_one: dict[str, int] = Counter()
     for t in counts:
         words = t.split()
-        if len(words) > 24:
-            continue
         open_words = [i for i, w in enumerate(words) if w not in "*#@"]
-        for k in (0, 1, 2):
-            for gone in combinations(open_words, k):
-                general = _MASKS.sub("*", " ".join("*" if i in gone else w for i, w in enumerate(words)))
-                groups[general].add(t)
-                by_one[general] += k == 1
+        pairs = list(combinations(open_words, 2)) if len(words) <= 60 else list(zip(open_words, open_words[1:]))
+        for gone in [(), *((i,) for i in open_words), *pairs]:
+            general = _MASKS.sub("*", " ".join("*" if i in gone else w for i, w in enumerate(words)))
+            groups[general].add(t)
+            by_one[general] += len(gone) == 1
     for general, members in groups.items():
         fixed = [w for w in general.split() if w not in "*#"]
         # the mask must stand for words that vary: rare ones are masked anyway, or three frequent ones fill it
         varies = general in counts or by_one[general] >= LEAST
         if (len(fixed) >= 2 or "@" in fixed) and varies and sum(counts[m] for m in members) >= need:
-            found.append(general)
+            found.setdefault(general, set()).update(members)
     return found
 
 
@@ -93,8 +95,8 @@ def repeated_lines(articles: DataFrame, *, share: float = SHARE, least: int = LE
     articles of its source and on at least ``least`` of them.
 
     Lines are split at a line feed and numbered from 1, empty ones counted. Rows with a null source, text
-    or id have none; blank lines and lines without a letter or digit are none either. Pages with one text are one
-    cluster. A source with fewer than ``least`` clusters has no repeated line. An empty table gives no row.
+    or id have none; blank lines and lines without a letter or digit are none either. Copies and most
+    light revisions of a page are one cluster. A source with fewer than ``least`` clusters has no repeated line. An empty table gives no row.
     """
     pages = articles.select("fetch_id", "source", "text", F.to_date("published_at").alias("day")).where("source is not null and text is not null and fetch_id is not null")
     words = pages.select("source", "text").mapInPandas(_words_of_batch, "source string, word string, n long").groupBy("source", "word").agg(F.sum("n").alias("n"))
@@ -120,12 +122,13 @@ def _repeated_of_block(pages: DataFrame, kept: DataFrame, share: float, least: i
         for batch in batches:
             rows = []
             for source, text, day in zip(batch["source"], batch["text"], batch["day"]):
-                own, key = box.value.get(source, frozenset()), fingerprint(text)
-                rows += [(source, w, key, day) for w in {masked(plain_line(x), own) for x in text.split("\n")} if w and w != "*"]
+                own, lines = box.value.get(source, frozenset()), [plain_line(x) for x in text.split("\n")]
+                key = fingerprint(lines, own)
+                rows += [(source, w, key, day) for w in {masked(x, own) for x in lines} if w and w != "*"]
                 rows.append((source, "", key, day))
             yield pd.DataFrame(rows, columns=["source", "wording", "cluster", "day"])
 
-    seen = pages.select("source", "text", "day").mapInPandas(wordings, "source string, wording string, cluster string, day date")
+    seen = pages.select("source", "text", "day").mapInPandas(wordings, "source string, wording string, cluster long, day date")
     # distinct clusters first (partial, then by key), so that no wording's rows meet in one task
     counted = seen.groupBy("source", "wording", "cluster").agg(F.min("day").alias("day"), F.max("day").alias("last")).groupBy("source", "wording").agg(F.count("*").alias("n"), F.min("day").alias("first"), F.max("last").alias("last"))
     counted = cut(counted.where("n >= 2 or wording = ''"))
@@ -140,8 +143,10 @@ def _repeated_of_block(pages: DataFrame, kept: DataFrame, share: float, least: i
         need[r["source"]] = max(least, share * r["all"])
         if r["first"] is not None and r["first"] == r["last"]:
             single.add((r["source"], r["wording"]))  # one day's lines only
-    found = {s: [w for w in _generalised(c, need[s]) if (s, w) not in single] for s, c in by_source.items()}
-    patterns = context.broadcast({s: "|".join(f"(?:{_pattern(w)})" for w in sorted(set(ws))) for s, ws in found.items() if ws})
+    found = {s: {w: m for w, m in _generalised(c, need[s]).items() if (s, w) not in single} for s, c in by_source.items()}
+    # a line is matched by its masked wording, as it was counted, or by a pattern, which fits wordings too rare to be counted
+    exact = context.broadcast({s: frozenset(x for w, m in ws.items() for x in {w, *m} if (s, x) not in single) for s, ws in found.items() if ws})
+    patterns = context.broadcast({s: "|".join(f"(?:{_pattern(w)})" for w in sorted(ws)) for s, ws in found.items() if ws})
 
     def matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         compiled: dict[str, re.Pattern | None] = {}
@@ -153,7 +158,8 @@ def _repeated_of_block(pages: DataFrame, kept: DataFrame, share: float, least: i
                 pattern = compiled[source]
                 if pattern is None:
                     continue
-                rows += [(fetch_id, source, i, x) for i, x in enumerate(text.split("\n"), 1) if (p := plain_line(x)) and pattern.fullmatch(p)]
+                own, known = box.value.get(source, frozenset()), exact.value[source]
+                rows += [(fetch_id, source, i, x) for i, x in enumerate(text.split("\n"), 1) if (p := plain_line(x)) and (masked(p, own) in known or pattern.fullmatch(p))]
             yield pd.DataFrame(rows, columns=["fetch_id", "source", "line_no", "line"])
 
     return pages.select("fetch_id", "source", "text").mapInPandas(matches, "fetch_id long, source string, line_no int, line string")

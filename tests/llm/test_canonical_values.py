@@ -61,10 +61,31 @@ def test_sectors_and_cases(rows, tables):
     assert {r["ref_key"] for r in cv.canonical_values(sample, tables[0].limit(0), tables[1].limit(0)).collect()} == {"unmatched"}
 
 
-def test_frequent_misspelling_is_its_own_name(rows, tables):
-    data = [(i, None, "Bengalura") for i in range(60)] + [(100 + i, None, "Bengalru") for i in range(5)]
+@settings(max_examples=60, deadline=None)
+@given(st.text("abcdef", min_size=36, max_size=46), st.lists(st.tuples(st.integers(0, 45), st.sampled_from(["", "x", "xy"])), max_size=2))
+def test_long_phrases_share_a_key(phrase, edits):
+    """Phrases around the length at which segments take the place of deletes meet their misspellings too."""
+    run = phrase
+    for at, put in edits:
+        run = run[:at] + put[:1] + run[at + 1 :]
+    if osa(phrase, run) <= 2:
+        assert cv.phrase_keys(phrase) & cv.run_keys(run)
+
+
+@pytest.mark.parametrize("times", [20, 400])
+def test_frequent_misspelling_keeps_its_entry(rows, tables, times):
+    """A misspelling is mapped alike on few rows and on many."""
+    data = [(i, None, "Bengalura") for i in range(times)] + [(1000 + i, None, "Bengalru") for i in range(5)]
     got = {r["value"]: r["ref_key"] for r in cv.canonical_values(rows("sample_no long, sector string, city string", *data), *tables).collect()}
-    assert got == {"Bengalura": "unmatched", "Bengalru": "Bengaluru"}
+    assert got == {"Bengalura": "Bengaluru", "Bengalru": "Bengaluru"}
+
+
+def test_long_labels(rows, tables):
+    """Labels of many words are found in lower case and with a typo, whatever their number of words."""
+    long = "Tools and Spare Parts for Small Village Dairies"
+    sectors = rows("ref_key string, label string, terms array<string>", *SECTORS, ("dairy", long, None))
+    data = [(1, long.lower(), None), (2, "tools and spare parts for smal village dairies", None), (3, "We sell tools and spare parts for small vilage dairies", None)]
+    assert {r["ref_key"] for r in cv.canonical_values(rows("sample_no long, sector string, city string", *data), sectors, tables[1]).collect()} == {"dairy"}
 
 
 def test_frequent_typo_keeps_its_entry(spark, rows, tables, tmp_path):

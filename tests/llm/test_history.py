@@ -77,15 +77,12 @@ def test_deals_brute_force(rows):
         data.append((i, min(4, i // 16), f"r{i}", rng.choice(["Zorvalu Labs", "Kemidrai Foods", "Kemidrai Labs"]), usd, "USD", usd, day, None))
     got = pairs(history.repeats(history.round_records(rows(RND, *data), rows(*RATES)), "round"))
     first = {}
-    for i, b, _, n, u, _, _, d, _ in data:
+    for i, b, _, n, u, _, _, d, _ in data:  # batches rise with the ids
         for j, c, _, m, v, _, _, e, _ in data:
             close_day, close_sum = d and e and abs((d - e).days) <= 3, u and v and abs(u - v) <= 0.1 * max(u, v)
             if c < b and n == m and ((close_day and (not u or not v or close_sum)) or ((not d or not e) and close_sum)):
-                first[i] = min(first.get(i, (9, 9)), (c, j))
-    once = {k: v[1] for k, v in first.items()}
-    for _ in range(2):
-        once = {k: once.get(v, v) for k, v in once.items()}
-    assert got == {(v, k) for k, v in once.items()}
+                first[i] = min(first.get(i, (9, 9)), first.get(j, (c, j)))
+    assert got == {(v[1], k) for k, v in first.items()}
 
 
 def test_signatures_estimate():
@@ -94,3 +91,40 @@ def test_signatures_estimate():
     b = np.concatenate([a[:360], rng.integers(0, 1 << 62, 40, dtype=np.uint64)])
     alike = (history.signature(a, 128) == history.signature(b, 128)).mean()
     assert abs(alike - 360 / 440) < 0.12
+
+
+def test_chain_over_nine_batches(rows):
+    """A page revised once a batch, each time further from the first: every repeat leads back to it."""
+    words = text(1, 200).split()
+    data = []
+    for b in range(9):
+        data.append((b + 1, b, f"https://site{b}.example/page", "T", " ".join(words), None))
+        at = 20 * b
+        words[at : at + 20] = [f"new{b}w{k}" for k in range(20)]
+    assert pairs(history.repeats(history.page_records(rows(ART, *data)), "article")) == {(1, i) for i in range(2, 10)}
+
+
+def test_many_revisions_cost_no_square(rows, spark):
+    """Of 300 light revisions of one page a key has one entry, and a batch's revisions hit it once each."""
+    words = text(1, 300).split()
+    data = [(i, i // 150, f"https://a.example/{i}", f"T{i}", " ".join([*words[:-1], f"last{i}"]), None) for i in range(300)]
+    records = history.page_records(rows(ART, *data)).cache()
+    index = history.History(spark, "article")
+    index.add(records.where("batch_no = 0"))
+    stored = spark.read.schema(history.KEY).parquet(f"{index.path}/keys").where("not exact").groupBy("key").count()
+    assert stored.agg({"count": "max"}).first()[0] <= 3
+    assert pairs(index.probe(records.where("batch_no = 1"))) == {(0, i) for i in range(150, 300)}
+
+
+def test_only_asked_buckets_are_read(rows, spark):
+    """A batch of one page reads no more buckets than it has keys, and the folder goes with the index."""
+    records = history.page_records(articles(rows)).cache()
+    index = history.History(spark, "article")
+    index.append(records.where("batch_no = 0"))
+    one = records.where("id = 5")
+    asked = index._asked(index._keys(one, True), "bucket", "buckets")
+    assert len(asked) <= index._keys(one, True).count() and max(asked) < index.buckets
+    index.drop()
+    import os
+
+    assert not os.path.exists(index.path.removeprefix("file:"))

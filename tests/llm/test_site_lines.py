@@ -50,3 +50,15 @@ def test_cleaned(rows):
 def test_plain_line():
     assert site_lines.plain_line("By Ann, 14 Apr 2026") == site_lines.plain_line("by ANN  April 3, 2025") == site_lines.plain_line("By Ann — 2026-04-14") == "by ann @"
     assert site_lines.plain_line("We may 3") == "we @"
+
+
+def test_long_notices_over_short_reports(rows):
+    """20 different short reports over three long notices, one of which names another firm on each page."""
+    notices = ["all texts on this site are the property of the publisher and must not be copied without a written permission of the same " * 2, "we may earn a fee when you follow a link on this page and buy something there which costs you nothing at all " * 2]
+    data = []
+    for i in range(20):
+        name = " ".join(f"firm{chr(97 + i)}{chr(97 + k)}" for k in range(11))
+        third = f"for more about {name} and other firms that our readers have asked about in the last weeks see the list of firms that we keep up for them"
+        data.append((i, "s", "\n".join([f"{chr(97 + i)}one {chr(97 + i)}two {chr(97 + i)}three {chr(97 + i)}four", *notices, third]), None, "x"))
+    got = site_lines.repeated_lines(rows("fetch_id long, source string, text string, published_at timestamp, line string", *data)).collect()
+    assert {(r["fetch_id"], r["line_no"]) for r in got} == {(i, k) for i in range(20) for k in (2, 3, 4)}
