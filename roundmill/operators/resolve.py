@@ -9,7 +9,7 @@ from roundmill.functions.deals import first_of_each_name, round_id
 from roundmill.functions.sectors import SECTOR_ALIASES, NEAR, exact_sector, plain_sector
 from roundmill.functions.text import normalize_company, normalize_investor
 from roundmill.operators.similarity import best_match, similar_pairs, token_set_score
-from roundmill.runtime import broadcast_if_small
+from roundmill.runtime import broadcast_if_small, cut
 
 COMPANY_SCORE = 92
 MAX_ALIASES = 1_000_000
@@ -63,8 +63,7 @@ def canonical_rounds(rounds: DataFrame, companies: DataFrame, investors: DataFra
     """Deals under canonical names: company renamed, id made anew, investors renamed and made distinct (the first
     mention counts). ``rounds`` holds company_name, announced_on, amount_usd and investors array<struct<name, lead>>."""
     named = rounds.join(companies.select(F.col("name").alias("company_name"), "canonical"), "company_name", "left").withColumn("company_name", F.coalesce("canonical", "company_name")).drop("canonical")
-    key = F.monotonically_increasing_id()
-    keyed = named.withColumn("_row", key)
+    keyed = cut(named.withColumn("_row", F.monotonically_increasing_id()))  # stored, so that both branches see the same numbers
     each = keyed.select("_row", F.posexplode("investors").alias("pos", "i")).select("_row", "pos", F.col("i.name").alias("name"), F.col("i.lead").alias("lead"))
     renamed = each.join(investors.select("name", "canonical"), "name", "left").select("_row", "pos", F.coalesce("canonical", "name").alias("name"), "lead")
     lists = renamed.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name", "lead"))), lambda x: F.struct(x["name"].alias("name"), x["lead"].alias("lead"))).alias("investors"))

@@ -19,12 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set, as in tests."""
+    """The shared folder of the cluster; a temporary one only where none is set and all runs on one machine, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not shared:
         shared = context._jsc.sc().getCheckpointDir()
-        shared = shared.get() if shared.isDefined() else tempfile.mkdtemp(prefix="roundmill-")
+        shared = shared.get() if shared.isDefined() else None
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="roundmill-")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared)
     return shared
