@@ -25,7 +25,7 @@ def sums_close(a: Column, b: Column, share: float = SHARE) -> Column:
 def band_pairs(new: DataFrame, old: DataFrame, days: int = DAYS, share: float = SHARE) -> DataFrame:
     """(new_id, old_id) of deals of one normal name with close days and sums; rows need id, name, announced_on, amount_usd.
 
-    Dated deals meet in day buckets, so a company with many deals costs no square; undated ones meet by name.
+    Dated deals meet in day buckets; undated ones meet all deals of their name, which costs a square where a company has many.
     """
     return _banded(new, old, "same", days, share).select("new_id", "old_id").distinct()
 
