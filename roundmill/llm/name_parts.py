@@ -97,7 +97,7 @@ def parts_of(name: str) -> tuple[str, str]:
     of business or type of house, ``given:<name>`` or ``initial:<letter>`` for persons, or empty.
 
     A name without letters or digits gives two empty strings. Parts in another order give the same result
-    where a comma marks it or the type shows it.
+    where the type or a listed given name shows which is which.
     """
     plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
     plain = plain.casefold().replace("m/s", " ")
