@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roundmill.functions.deals import first_of_each_name, round_id
 from roundmill.functions.sectors import SECTOR_ALIASES, NEAR, exact_sector, plain_sector
 from roundmill.functions.text import normalize_company, normalize_investor
+from roundmill.functions.urls import canonical_url
 from roundmill.operators.similarity import best_match, similar_pairs, token_set_score
 from roundmill.runtime import broadcast_if_small, cut
 
@@ -76,8 +77,9 @@ def backfill_sectors(rounds: DataFrame, sources: DataFrame, articles: DataFrame)
     """(round_id, old_sector, new_sector, outcome) of each deal: the sector of its first linked article that names one.
     Outcomes: updated, already_ok, skipped (no article names a sector)."""
     old = rounds.select("round_id", F.lower(F.trim(F.get_json_object("company_json", "$.sector"))).alias("old_sector")).groupBy("round_id").agg(F.min("old_sector").alias("old_sector"))
-    named = articles.select("url", F.get_json_object("enrichment_json", "$.sector").alias("raw")).where("raw is not null and trim(raw) <> ''")
-    linked = sources.select("round_id", F.col("article_url").alias("url")).distinct().join(named, "url").groupBy("round_id").agg(F.min_by("raw", F.struct("url", "raw")).alias("raw"))
+    page = lambda c: F.coalesce(canonical_url(F.col(c)), F.col(c)).alias("url")  # noqa: E731 - links are written in many ways
+    named = articles.select(page("url"), F.get_json_object("enrichment_json", "$.sector").alias("raw")).where("raw is not null and trim(raw) <> ''")
+    linked = sources.select("round_id", page("article_url")).distinct().join(named, "url").groupBy("round_id").agg(F.min_by("raw", F.struct("url", "raw")).alias("raw"))
     slug = linked.join(normalize_sectors(linked), "raw", "left").select("round_id", F.col("sector").alias("new_sector"))
     outcome = F.when(F.col("new_sector").isNull(), "skipped").when(F.col("old_sector") == F.col("new_sector"), "already_ok").otherwise("updated")
     return old.join(slug, "round_id", "left").select("round_id", "old_sector", "new_sector", outcome.alias("outcome"))
