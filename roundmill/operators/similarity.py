@@ -2,21 +2,25 @@
 
 The score is that of token-set comparison on a 0..100 scale: of the sorted common words and the sorted rests of
 both sides, the greatest normalised indel similarity of any two of (common + rest a), (common + rest b), common;
-100 where one set of words holds the other; 0 where a side has no word. Candidates come from an equi-join on
-shared words, and for pairs without one from a segment join: such a pair scores at least t only if its indel
-distance is at most (1 - t/100) of both lengths together, so one of that many + 1 segments of the one stands
-unchanged, at most that far shifted, in the other. No pair is lost.
+100 where one set of words holds the other; 0 where a side has no word. A pair that scores at least t by the common
+words against one side lacks few letters of that side, so it shares one of its rarest words. Any other pair has an
+indel distance of at most (1 - t/100) of both lengths together: it either shares a word, or one of that many + 1
+segments of the one stands unchanged, at most that far shifted, in the other. There, lengths and counts of letters
+bound the distance from below, so names with a frequent word in common make no candidates by it. No pair is lost.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roundmill.runtime import cut
+
 
 def longest_common(a: str, b: str) -> int:
     """Length of the longest common subsequence, all cells of a row at once in the bits of one integer."""
@@ -74,6 +78,65 @@ def _segments(length: int, threshold: float) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
+def _shifts(length: int, other: int, threshold: float) -> range:
+    """Places by which a piece of a string of this length may stand further on in one of the other length that scores the
+    threshold with it. Edits come in the parity of both lengths together, and those that don't shift back make up the
+    difference."""
+    edits, more = math.floor((100 - threshold) * (length + other) / 100 + 1e-9), other - length
+    edits -= (edits - more) % 2
+    return range((more - edits) // 2, (more + edits) // 2 + 1) if edits >= abs(more) else range(0)
+
+
+def _letters(text: str) -> tuple[int, int]:
+    """128 bits: the first four occurrences of each of 32 classes of letters. Bits that only one of two strings has are
+    never more than the edits between them."""
+    seen = [0] * 32
+    bits = 0
+    for c in text:
+        at = ord(c) % 32
+        if seen[at] < 4:
+            bits |= 1 << 4 * at + seen[at]
+            seen[at] += 1
+    low, high = bits & (1 << 64) - 1, bits >> 64
+    return low - (low >> 63 << 64), high - (high >> 63 << 64)
+
+
+_FORM = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("size", T.IntegerType()), T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
+
+
+@F.pandas_udf(_FORM)
+def _form(text: pd.Series) -> pd.DataFrame:
+    out = []
+    for t in text:
+        s = _sorted_form(t or "")
+        out.append((s.split(), len(s), *_letters(s)))
+    return pd.DataFrame(out, columns=["words", "size", "low", "high"])
+
+
+def _telling(threshold: float):  # noqa: ANN202
+    """Of a name's words, rarest first, as many as can't all be missing from a name that scores by its common words alone."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def telling(words: pd.Series) -> pd.Series:
+        def first(ws: list[str]) -> list[str]:
+            out, room = [], _missing(sum(len(w) + 1 for w in ws) - 1, threshold)
+            for w in ws:
+                out.append(w)
+                room -= len(w) + 1
+                if room < 0:
+                    break
+            return out
+
+        return words.map(first)
+
+    return telling
+
+
+def _missing(size: int, threshold: float) -> int:
+    """Most letters of a string of this size that a part of it may lack and still score the threshold with it."""
+    return math.floor(size * (200 - 2 * threshold) / (200 - threshold) + 1e-9)
+
+
 def _key_functions(threshold: float):  # noqa: ANN202
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def index(text: pd.Series) -> pd.Series:
@@ -90,9 +153,9 @@ def _key_functions(threshold: float):  # noqa: ANN202
             out = set()
             low, high = math.ceil(len(s) * threshold / (200 - threshold) - 1e-9), math.floor(len(s) * (200 - threshold) / threshold + 1e-9)
             for length in range(max(1, low), high + 1):
-                far = _budget(length, threshold)
+                shifts = _shifts(length, len(s), threshold)
                 for i, (x, y) in enumerate(_segments(length, threshold)):
-                    for at in range(max(0, x - far), min(len(s) - (y - x), x + far) + 1):
+                    for at in range(max(0, x + shifts.start), min(len(s) - (y - x), x + shifts.stop - 1) + 1):
                         out.add(f"{length}:{i}:{s[at : at + y - x]}")
             return list(out)
 
@@ -105,15 +168,35 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, *, on: tu
     """(a, b, score) of every pair of distinct normal forms ``left.name`` and ``right.name`` that scores ``threshold`` or
     more, among rows that agree on the further columns ``on``.
 
-    Empty and null names match nothing; equal names score 100. Each distinct name is compared once.
+    Empty and null names match nothing; equal names score 100. Each distinct name is compared once. Pairs that score by
+    their common words alone share one of the telling words of one side; the others are alike as wholes, so their sizes
+    and letters are, which is compared where keys meet and before a pair is written.
     """
     index, probe = _key_functions(threshold)
-    a = left.select(F.col("name").alias("a"), *on).where("name <> ''").distinct()
-    b = right.select(F.col("name").alias("b"), *on).where("name <> ''").distinct()
-    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
-    by_word = a.select("a", *on, words(F.col("a")).alias("key")).join(b.select("b", *on, words(F.col("b")).alias("key")), ["key", *on])
-    by_segment = a.select("a", *on, F.explode(probe("a")).alias("key")).join(b.select("b", *on, F.explode(index("b")).alias("key")), ["key", *on])
-    candidates = by_word.select("a", "b", *on).unionByName(by_segment.select("a", "b", *on)).distinct()
+    # dealt out before they are stored, as the keys made of them are many
+    parts = max(left.sparkSession.sparkContext.defaultParallelism, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    side = lambda df, c: cut(df.select(F.col("name").alias(c), *on).where("name <> ''").distinct().repartition(parts).withColumn("f", _form(c)).select(c, *on, F.struct("f.size", "f.low", "f.high").alias(f"{c}f"), F.col("f.words").alias("words")))
+    a, b = side(left, "a"), side(right, "b")
+    words = lambda df, c: df.select(c, *on, f"{c}f", F.explode("words").alias("key"))
+    often = words(a, "a").select("key").unionByName(words(b, "b").select("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+    def telling(df: DataFrame, c: str) -> DataFrame:
+        rare = words(df, c).join(often, "key").groupBy(c, *on, f"{c}f").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("ws"))
+        return rare.select(c, *on, f"{c}f", F.explode(_telling(threshold)(F.transform("ws", lambda w: w["key"]))).alias("key"))
+
+    lacks = lambda x, y: F.bit_count(F.col(f"{x}.low").bitwiseAND(F.bitwise_not(F.col(f"{y}.low")))) + F.bit_count(F.col(f"{x}.high").bitwiseAND(F.bitwise_not(F.col(f"{y}.high"))))
+    held = lambda x, y: lacks(x, y) <= F.floor(F.col(f"{x}.size") * ((200 - 2 * threshold) / (200 - threshold)) + 1e-9)
+    alike = lacks("af", "bf") + lacks("bf", "af") <= F.floor((F.col("af.size") + F.col("bf.size")) * ((100 - threshold) / 100) + 1e-9)
+    # sizes of alike names are in one or two neighbouring bands
+    band = lambda c: F.floor(F.log(F.col(f"{c}f.size")) / max(1.001 * math.log((200 - threshold) / threshold), 0.05))
+    near = lambda df: df.withColumn("band", F.explode(F.array(*[band("a") + s for s in (-1, 0, 1)])))
+    met = [
+        telling(a, "a").join(words(b, "b"), ["key", *on]).where(held("af", "bf")),
+        words(a, "a").join(telling(b, "b"), ["key", *on]).where(held("bf", "af")),
+        near(words(a, "a")).join(words(b, "b").withColumn("band", band("b")), ["key", "band", *on]).where(alike),
+        a.select("a", *on, "af", F.explode(probe("a")).alias("key")).withColumn("key", F.xxhash64("key")).join(b.select("b", *on, "bf", F.explode(index("b")).alias("key")).withColumn("key", F.xxhash64("key")), ["key", *on]).where(alike),
+    ]
+    candidates = reduce(DataFrame.unionByName, [m.select("a", "b", *on) for m in met]).distinct()
     return candidates.withColumn("score", token_set_score("a", "b")).where(F.col("score") >= threshold)
 
 

@@ -8,7 +8,9 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from roundmill.operators import similarity
 from roundmill.operators.dedup import existing_rounds
 from roundmill.operators.resolve import backfill_names, backfill_sectors, canonical_rounds, normalize_sectors, record_aliases, resolve_companies, resolve_investors
 from roundmill.operators.similarity import longest_common, similar_pairs, token_set_ratio
@@ -43,6 +45,29 @@ def test_similar_pairs_lose_nothing(rows):
         assert got == {(a, b) for a in names for b in names if token_set_ratio(a, b) >= threshold}
 
 
+def test_similar_pairs_of_frequent_words(rows):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abdeiorsz") for _ in range(n))
+    left = [f"{word(rng.randint(3, 7))} {rng.choice(['finserve', 'learning', 'finserve learning', 'farms'])}" for _ in range(60)] + ["farms", "é farms learning", "12 finserve"]
+
+    def typo(name):
+        at = rng.randrange(len(name) + 1)
+        return rng.choice([name[:at] + rng.choice("aez ") + name[at:], name[:at] + name[at + 1 :], name[:at] + name[at : at + 2][::-1] + name[at + 2 :], name + " group", " ".join(name.split()[::-1])])
+
+    right = [" ".join(typo(n).split()) for n in left for _ in range(3)]
+    for threshold in (85, 88, 92):
+        got = {(r["a"], r["b"]) for r in similar_pairs(rows("name string", *[(n,) for n in left]), rows("name string", *[(n,) for n in right]), threshold).collect()}
+        assert got == {(a, b) for a in left for b in right if token_set_ratio(a, b) >= threshold}
+
+
+def test_frequent_word_makes_no_square(rows, monkeypatch):
+    rng = random.Random(9)
+    names = [("".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(8)) + " finserve",) for _ in range(150)]
+    monkeypatch.setattr(similarity, "token_set_score", lambda a, b: F.lit(100.0))
+    met = similar_pairs(rows("name string", *names), rows("name string", *names), 92).count()
+    assert len(names) <= met < 0.1 * len(names) ** 2
+
+
 @pytest.mark.parametrize(
     ("new", "old", "same"),
     [
