@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roundmill.functions.text import normalize_company
-from roundmill.operators.similarity import token_set_score
+from roundmill.operators.similarity import similar_pairs
 from roundmill.runtime import cut
 
 NAME_SCORE, DAYS, SHARE = 88, 3, 0.15
@@ -27,14 +27,13 @@ def band_pairs(new: DataFrame, old: DataFrame, days: int = DAYS, share: float =
 
     Dated deals meet in day buckets; undated ones meet all deals of their name, which costs a square where a company has many.
     """
-    return _banded(new, old, "same", days, share).select("new_id", "old_id").distinct()
+    keyed = lambda df: df.select("id", "announced_on", "amount_usd", F.col("name").alias("key"))
+    return _banded(keyed(new), keyed(old), days, share).select("new_id", "old_id").distinct()
 
 
-def _banded(new: DataFrame, old: DataFrame, by: str, days: int, share: float) -> DataFrame:
-    """Pairs whose names share a key, with close days and sums."""
-    side = lambda df, p: df.select(F.col("id").alias(f"{p}_id"), F.col("name").alias(f"{p}_name"), F.col("announced_on").alias(f"{p}_day"), F.col("amount_usd").alias(f"{p}_usd"), F.col("key"))
-    if by == "same":
-        new, old = new.withColumn("key", F.col("name")), old.withColumn("key", F.col("name"))
+def _banded(new: DataFrame, old: DataFrame, days: int, share: float) -> DataFrame:
+    """Pairs that share a key, with close days and sums; columns besides those of a deal are kept."""
+    side = lambda df, p: df.withColumnsRenamed({"id": f"{p}_id", "announced_on": f"{p}_day", "amount_usd": f"{p}_usd"})
     a, b = side(new, "new"), side(old, "old")
     bucket = lambda c: F.floor(F.unix_date(c) / (days + 1))
     dated_a = a.where("new_day is not null").withColumn("bucket", F.explode(F.array(*[bucket(F.col("new_day")) + s for s in (-1, 0, 1)])))
@@ -50,21 +49,13 @@ def existing_rounds(new: DataFrame, old: DataFrame, *, threshold: float = NAME_S
     """(new_id, old_id, score): for each new deal the known deal it repeats, by greatest name score, ties to the least
     ``ordinal`` of the known ones. Inputs hold id, company_name, announced_on, amount_usd; ``old`` also ordinal.
 
-    Names that are empty in normal form match nothing. Missing days and sums match any. Candidates share a word of
-    their names or, without one, a segment; day buckets come before the score, which is the dear part.
+    Names that are empty in normal form match nothing. Missing days and sums match any. Each distinct name is compared
+    once; deals meet only under names that are alike.
     """
-    from roundmill.operators.similarity import _key_functions
-
-    index, probe = _key_functions(threshold)
     tidy = lambda df, *more: df.select("id", normalize_company(F.col("company_name")).alias("name"), "announced_on", "amount_usd", *more).where("name <> ''")
     a, b = tidy(new), tidy(old, "ordinal")
-    words = F.array_distinct(F.filter(F.split("name", r"\s+"), lambda w: w != ""))
-    # keys once per distinct name
-    keys = lambda df, f: df.select("name").distinct().select("name", F.explode(F.concat(F.transform(words, lambda w: F.concat(F.lit("w:"), w)), f("name"))).alias("key"))
-    pairs = _banded(a.join(keys(a, probe), "name"), b.join(keys(b, index), "name"), "key", days, share)
-    pairs = cut(pairs.select("new_id", "old_id", "new_name", "old_name").distinct())
-    scored = pairs.withColumn("score", token_set_score("new_name", "old_name")).where(F.col("score") >= threshold)
-    ranked = scored.join(b.select(F.col("id").alias("old_id"), "ordinal"), "old_id")
+    pairs = cut(similar_pairs(a, b, threshold)).select(F.col("a").alias("name"), F.col("b").alias("key"), "score")
+    ranked = _banded(a.join(pairs, "name").drop("name"), b.withColumnRenamed("name", "key"), days, share)
     return ranked.groupBy("new_id").agg(F.min_by(F.struct("old_id", "score"), F.struct(-F.col("score"), "ordinal")).alias("m")).select("new_id", "m.old_id", "m.score")
 
 

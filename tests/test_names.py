@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from roundmill.operators import similarity
+from roundmill.operators import dedup, similarity
 from roundmill.operators.dedup import existing_rounds
 from roundmill.operators.resolve import backfill_names, backfill_sectors, canonical_rounds, normalize_sectors, record_aliases, resolve_companies, resolve_investors
 from roundmill.operators.similarity import longest_common, similar_pairs, token_set_ratio
@@ -82,6 +82,16 @@ def test_existing_rounds(rows, new, old, same):
     assert bool(got) == same
 
 
+def test_deals_meet_under_names_alike_only(rows, monkeypatch):
+    rng = random.Random(10)
+    name = lambda: "".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(8)) + " finserve"
+    for module in (dedup, similarity):
+        monkeypatch.setattr(module, "token_set_score", lambda a, b: F.lit(100.0), raising=False)
+    schema = "id long, company_name string, announced_on date, amount_usd double"
+    new, old = [(i, name(), None, None) for i in range(60)], [(100 + i, name(), None, None, i) for i in range(60)]
+    assert existing_rounds(rows(schema, *new), rows(schema + ", ordinal long", *old)).count() < 40
+
+
 def test_existing_rounds_brute_force(rows):
     rng = random.Random(5)
     day = lambda: None if rng.random() < 0.2 else dt.date(2026, 1, 1) + dt.timedelta(rng.randint(0, 9))
