@@ -99,8 +99,8 @@ def _page_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 #: What is kept of a record: its exact keys, its band keys, and what verifies a hit.
-RECORD = "id long, batch_no int, exact array<bigint>, bands array<bigint>, sig binary, core string, type string, day int, usd double, raw string, recorded double"
-KEY = "key bigint, exact boolean, id long, first_batch int, first_id long, bucket int"
+RECORD = "id long, batch_no int, exact array<bigint>, bands array<bigint>, sig binary, core string, type string, day int, usd double, raw string, recorded double, letters long"
+KEY = "key bigint, exact boolean, id long, first_batch int, first_id long, letters long, bucket int"
 MARKS = ["sig", "core", "type", "day", "usd", "raw", "recorded"]
 
 
@@ -119,18 +119,27 @@ def page_records(articles: DataFrame) -> DataFrame:
     return _records(sig, id=F.col("id"), batch_no=F.col("batch_no"), exact=exact, bands=F.col("bands"), sig=F.col("sig"))
 
 
-def _name_bands(name: str) -> tuple[str, str, list[int]]:
+def _letters(text: str) -> int:
+    """64 bits: the first two occurrences of each of 32 classes of letters. One edit changes two at most."""
+    bits = 0
+    for c in text:
+        at = 2 * (ord(c) % 32)
+        bits |= 1 << at + (bits >> at & 1)
+    return bits - (bits >> 63 << 64)
+
+
+def _name_bands(name: str) -> tuple[str, str, list[int], int]:
     core, kind = parts_of(name)
     sound = sound_of(core)
     padded = f"^{sound}$"
     hashes = np.array([_word_hash(padded[i : i + 2]) for i in range(len(padded) - 1)], np.uint64)
-    return sound, kind, _band_longs(signature(np.unique(hashes), NAME_BANDS * NAME_ROWS), NAME_BANDS, NAME_ROWS)
+    return sound, kind, _band_longs(signature(np.unique(hashes), NAME_BANDS * NAME_ROWS), NAME_BANDS, NAME_ROWS), _letters(sound)
 
 
-@F.pandas_udf(T.StructType([T.StructField("core", T.StringType()), T.StructField("type", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
+@F.pandas_udf(T.StructType([T.StructField("core", T.StringType()), T.StructField("type", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("letters", T.LongType())]))
 def _name_signature(name: pd.Series) -> pd.DataFrame:
-    rows = [_name_bands(x) if x else (None, None, []) for x in name]
-    return pd.DataFrame(rows, columns=["core", "type", "bands"])
+    rows = [_name_bands(x) if x else (None, None, [], 0) for x in name]
+    return pd.DataFrame(rows, columns=["core", "type", "bands", "letters"])
 
 
 def round_records(rounds: DataFrame, rates: DataFrame) -> DataFrame:
@@ -143,7 +152,7 @@ def round_records(rounds: DataFrame, rates: DataFrame) -> DataFrame:
     full = base.join(usd, "record_id", "left").join(names, "company_name", "left")
     exact = F.when(F.col("round_id").isNotNull(), F.array(F.xxhash64(F.lit("i"), "round_id"))).otherwise(F.array())
     some = {n: F.col(n) for n in ("batch_no", "day", "usd", "raw", "recorded")}
-    return _records(full, id=F.col("record_id"), exact=exact, bands=F.coalesce("p.bands", F.array().cast("array<bigint>")), core=F.col("p.core"), type=F.col("p.type"), **some)
+    return _records(full, id=F.col("record_id"), exact=exact, bands=F.coalesce("p.bands", F.array().cast("array<bigint>")), core=F.col("p.core"), type=F.col("p.type"), letters=F.col("p.letters"), **some)
 
 
 def _deal_keys() -> tuple[Column, Column]:
@@ -179,6 +188,7 @@ class History:
         self.spark, self.kind = spark, kind
         self.path = path or f"{checkpoint_dir(spark)}/history-{kind}-{uuid.uuid4().hex}"
         self.parts, self.buckets = 0, 0
+        self.hints = ["letters"] if kind == "round" else []  # kept with a key; they rule a hit out before its marks are fetched
 
     def _bucket(self, c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(self.buckets)).cast("int")
@@ -187,8 +197,8 @@ class History:
         own = F.col("bands") if self.kind == "article" else _deal_keys()[asked]
         tagged = F.concat(F.transform("exact", lambda k: F.struct(k.alias("key"), F.lit(True).alias("exact"))), F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(False).alias("exact"))))
         first = ["first"] if "first" in records.columns else []
-        rows = records.select("id", *first, F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
-        return rows.select("id", *first, "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
+        rows = records.select("id", *first, *self.hints, F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
+        return rows.select("id", *first, *self.hints, "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
 
     def _asked(self, df: DataFrame, name: str, what: str) -> list[int]:
         """The buckets in which rows are asked for; there are no more than MOST_BUCKETS."""
@@ -224,8 +234,8 @@ class History:
         else:
             content = F.when(F.col("exact"), F.lit(0).cast("bigint")).otherwise(F.col("content"))
         # rows of one class under one key are taken together before they are dealt out by bucket
-        entered = self._keys(records, False).groupBy("bucket", "key", "exact", content.alias("content"), "first").agg(F.min("id").alias("id"))
-        entered = entered.select("key", "exact", "id", F.col("first.batch_no").alias("first_batch"), F.col("first.id").alias("first_id"), "bucket")
+        entered = self._keys(records, False).groupBy("bucket", "key", "exact", content.alias("content"), "first").agg(F.min("id").alias("id"), *[F.min(h).alias(h) for h in self.hints])
+        entered = entered.select("key", "exact", "id", F.col("first.batch_no").alias("first_batch"), F.col("first.id").alias("first_id"), *self.hints, "bucket")
         entered.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
         self.parts += 1
 
@@ -237,9 +247,11 @@ class History:
         """(first_id, second_id, first_batch) of the records that repeat one of those added before; the earliest such one counts."""
         if not self.parts:
             return self.spark.createDataFrame([], "first_id long, second_id long, first_batch int")
-        asked = self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id"))
+        asked = self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id"), *[F.col(h).alias(f"asked_{h}") for h in self.hints])
         stored = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").where(F.col("bucket").isin(self._asked(asked, "bucket", "buckets of keys")))
         hits = stored.join(broadcast_if_small(asked, SMALL), ["bucket", "key"]).where("id <> second_id")
+        if self.hints:  # names of two letters' difference and more share keys by chance, more so the more deals there are
+            hits = hits.where("exact or bit_count(letters ^ asked_letters) <= 2")
         pairs = hits.groupBy("id", "second_id").agg(F.max("exact").alias("exact"), F.min(F.struct("first_batch", "first_id")).alias("first"))
         pairs = cut(pairs.withColumn("bucket", self._bucket(F.col("id"))))
         known = self.spark.read.schema("id long, sig binary, core string, type string, day int, usd double, raw string, recorded double, bucket int").parquet(f"{self.path}/records")

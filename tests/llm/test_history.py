@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roundmill.llm import history
 
@@ -85,6 +86,31 @@ def test_deals_brute_force(rows):
     assert got == {(v[1], k) for k, v in first.items()}
 
 
+def test_other_names_are_ruled_out_by_their_keys(rows, spark, monkeypatch):
+    """Names that share keys by chance don't reach the comparison of marks; a name with one edit does."""
+    rng = random.Random(12)
+    name = lambda: "".join(rng.choice(["za", "ko", "mi", "re", "du", "pla", "sho", "gri"]) for _ in range(4)).title() + " Foods"
+    data = [(i, i // 100, f"r{i}", name(), 5e6, "USD", 5e6, dt.date(2026, 1, 1), None) for i in range(200)]
+    data += [(300, 0, "a", "Vukobilesta Foods", 5e6, "USD", 5e6, dt.date(2026, 1, 1), None), (301, 1, "b", "Vukobilestta Foods", 5e6, "USD", 5e6, dt.date(2026, 1, 1), None)]
+    records = history.round_records(rows(RND, *data), rows(*RATES)).cache()
+    index = history.History(spark, "round")
+    index.add(records.where("batch_no = 0"))
+    monkeypatch.setattr(history, "_name_edits", lambda a, b: F.lit(0))
+    got = pairs(index.probe(records.where("batch_no = 1")))
+    index.drop()
+    assert (300, 301) in got and len(got) < 60
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_edit_changes_two_letter_bits_at_most(seed):
+    rng = random.Random(seed)
+    for _ in range(2000):
+        a = "".join(rng.choice("abcé z9\u0938") for _ in range(rng.randint(1, 9)))
+        at, c = rng.randrange(len(a)), rng.choice("abzé1")
+        for b in (a[:at] + c + a[at:], a[:at] + a[at + 1 :], a[:at] + c + a[at + 1 :], a[:at] + a[at : at + 2][::-1] + a[at + 2 :]):
+            assert ((history._letters(a) ^ history._letters(b)) & (1 << 64) - 1).bit_count() <= 2
+
+
 def test_signatures_estimate():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 62, 400, dtype=np.uint64)
