@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from roundmill.functions.urls import canonical_url, page_number
 from roundmill.llm.name_parts import close, parts_of, sound_of
 from roundmill.operators.units import convert_units
-from roundmill.runtime import broadcast_if_small, checkpoint_dir, collect_bounded, cut
+from roundmill.runtime import broadcast_if_small, checkpoint_dir, collect_bounded, cut, stored_rows
 
 BUCKET_RECORDS, MOST_BUCKETS = 2000, 4096  # records of the first batch to a bucket of the index; most buckets
 PAGE_BANDS, PAGE_ROWS = 20, 4  # finds a similarity of 0.8 with 0.99997, of 0.65 with 0.975
@@ -200,14 +200,28 @@ class History:
         rows = records.select("id", *first, *self.hints, F.xxhash64(*MARKS).alias("content"), F.explode(tagged).alias("k"))
         return rows.select("id", *first, *self.hints, "content", "k.key", "k.exact", self._bucket(F.col("k.key")).alias("bucket"))
 
-    def _asked(self, df: DataFrame, name: str, what: str) -> list[int]:
-        """The buckets in which rows are asked for; there are no more than MOST_BUCKETS."""
-        return [r[0] for r in collect_bounded(df.select(name).distinct(), MOST_BUCKETS, what)]
+    def _asked(self, df: DataFrame, name: str, what: str) -> dict[int, int]:
+        """The buckets in which rows are asked for, and how many are in each; there are no more than MOST_BUCKETS."""
+        return {r[0]: r[1] for r in collect_bounded(df.groupBy(name).agg(F.count("*")), MOST_BUCKETS, what)}
 
     def _likely(self, both: DataFrame, least: float = SIMILAR) -> DataFrame:
         """Of pairs with their marks p and q those that are alike."""
         return both.where(_likeness("p.sig", "q.sig") >= least) if self.kind == "article" else both.where(self._deals()).where(_name_edits("p.core", "q.core") <= 1)
 
+    def _classed(self, records: DataFrame) -> DataFrame:
+        """A page all but equal to the earliest one under a key of its own batch is of its class."""
+        fresh = self._keys(records, False).where("not exact")
+        lead = cut(fresh.groupBy("key").agg(F.min(F.struct("first", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
+        if not (n := stored_rows(lead)):
+            return records
+        pairs = fresh.join(broadcast_if_small(lead, SMALL, n), "key").where("first <> lead.first").select("id", F.col("lead.id").alias("other"), F.col("lead.first").alias("lead_first")).distinct()
+        marks = lambda name, column: records.select(F.col("id").alias(column), F.struct(*MARKS).alias(name)).dropDuplicates([column])
+        near = self._likely(pairs.join(marks("p", "id"), "id").join(marks("q", "other"), "other"), REPRESENTED)
+        near = cut(near.groupBy("id").agg(F.min("lead_first").alias("lead_first")))
+        if not (n := stored_rows(near)):
+            return records
+        return records.join(broadcast_if_small(near, SMALL, n), "id", "left").withColumn("first", F.coalesce(F.least("first", "lead_first"), "first")).drop("lead_first")
+
     def append(self, records: DataFrame, found: DataFrame | None = None) -> None:
         """Add a batch. ``found`` (first_batch, first_id, second_id) are the repeats among it: they are entered under the
         record they repeat. Of records with one key, one content and one first record only the earliest is entered; so
@@ -217,19 +231,12 @@ class History:
             self.buckets = min(MOST_BUCKETS, 1 << (wanted - 1).bit_length())
         records.select("id", *MARKS).withColumn("bucket", self._bucket(F.col("id"))).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/records")
         own = F.struct("batch_no", "id")
-        if found is not None:
-            under = broadcast_if_small(found.select(F.col("second_id").alias("id"), F.struct(F.col("first_batch").alias("batch_no"), F.col("first_id").alias("id")).alias("under")), SMALL)
+        if found is not None and (n := stored_rows(found)):
+            under = broadcast_if_small(found.select(F.col("second_id").alias("id"), F.struct(F.col("first_batch").alias("batch_no"), F.col("first_id").alias("id")).alias("under")), SMALL, n)
             own, records = F.coalesce("under", own), records.join(under, "id", "left")
         records = records.withColumn("first", own)
         if self.kind == "article":
-            # a page all but equal to the earliest one under a key of its own batch is of its class
-            fresh = self._keys(records, False).where("not exact")
-            lead = cut(fresh.groupBy("key").agg(F.min(F.struct("first", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
-            pairs = fresh.join(broadcast_if_small(lead, SMALL), "key").where("first <> lead.first").select("id", F.col("lead.id").alias("other"), F.col("lead.first").alias("lead_first")).distinct()
-            marks = lambda name, column: records.select(F.col("id").alias(column), F.struct(*MARKS).alias(name)).dropDuplicates([column])
-            near = self._likely(pairs.join(marks("p", "id"), "id").join(marks("q", "other"), "other"), REPRESENTED)
-            near = cut(near.groupBy("id").agg(F.min("lead_first").alias("lead_first")))
-            records = records.join(broadcast_if_small(near, SMALL), "id", "left").withColumn("first", F.coalesce(F.least("first", "lead_first"), "first"))
+            records = self._classed(records)
             content = F.lit(0).cast("bigint")
         else:
             content = F.when(F.col("exact"), F.lit(0).cast("bigint")).otherwise(F.col("content"))
@@ -248,16 +255,19 @@ class History:
         if not self.parts:
             return self.spark.createDataFrame([], "first_id long, second_id long, first_batch int")
         asked = self._keys(records, True).select("bucket", "key", F.col("id").alias("second_id"), *[F.col(h).alias(f"asked_{h}") for h in self.hints])
-        stored = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").where(F.col("bucket").isin(self._asked(asked, "bucket", "buckets of keys")))
-        hits = stored.join(broadcast_if_small(asked, SMALL), ["bucket", "key"]).where("id <> second_id")
+        buckets = self._asked(asked, "bucket", "buckets of keys")
+        stored = self.spark.read.schema(KEY).parquet(f"{self.path}/keys").where(F.col("bucket").isin(*buckets))
+        # the key alone tells the bucket; joined by the bucket too, each plan would prune once more by a query of its own
+        hits = stored.join(broadcast_if_small(asked.drop("bucket"), SMALL, sum(buckets.values())), "key").where("id <> second_id")
         if self.hints:  # names of two letters' difference and more share keys by chance, more so the more deals there are
             hits = hits.where("exact or bit_count(letters ^ asked_letters) <= 2")
         pairs = hits.groupBy("id", "second_id").agg(F.max("exact").alias("exact"), F.min(F.struct("first_batch", "first_id")).alias("first"))
         pairs = cut(pairs.withColumn("bucket", self._bucket(F.col("id"))))
         known = self.spark.read.schema("id long, sig binary, core string, type string, day int, usd double, raw string, recorded double, bucket int").parquet(f"{self.path}/records")
         loose = pairs.where("not exact")
-        known = known.where(F.col("bucket").isin(self._asked(loose, "bucket", "buckets of records"))).select("bucket", "id", F.struct(*MARKS).alias("p"))
-        both = known.join(broadcast_if_small(loose, SMALL), ["bucket", "id"]).dropDuplicates(["id", "second_id"]).join(records.select(F.col("id").alias("second_id"), F.struct(*MARKS).alias("q")), "second_id")
+        buckets = self._asked(loose, "bucket", "buckets of records")
+        known = known.where(F.col("bucket").isin(*buckets)).select("id", F.struct(*MARKS).alias("p"))
+        both = known.join(broadcast_if_small(loose.drop("bucket"), SMALL, sum(buckets.values())), "id").dropDuplicates(["id", "second_id"]).join(records.select(F.col("id").alias("second_id"), F.struct(*MARKS).alias("q")), "second_id")
         alike = pairs.where("exact").select("first", "second_id").unionByName(self._likely(both).select("first", "second_id"))
         return alike.groupBy("second_id").agg(F.min("first").alias("m")).select(F.col("m.first_id").alias("first_id"), "second_id", F.col("m.first_batch").alias("first_batch"))
 

@@ -47,12 +47,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def stored_rows(df: DataFrame) -> int:
+    """Rows of a frame that ``cut`` gave: its stored rows are counted in one job, without the plan and the exchange that a count has."""
+    return df._jdf.queryExecution().toRdd().count()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
     """Hint a broadcast only when a count proves the bound; otherwise leave the choice to the planner.
 
-    The count stops after ``max_rows + 1`` rows.
+    The count stops after ``max_rows + 1`` rows; it isn't made where ``rows`` says how many there are.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:

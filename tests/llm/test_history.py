@@ -154,3 +154,16 @@ def test_only_asked_buckets_are_read(rows, spark):
     import os
 
     assert not os.path.exists(index.path.removeprefix("file:"))
+
+
+def test_a_batch_takes_few_jobs(rows, spark):
+    """What the driver holds grows with the jobs of a batch, however few rows it has: no count is made beside what is stored
+    or collected anyway, and buckets aren't pruned by a query of their own."""
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    for kind, records, most in (("article", history.page_records(articles(rows)), 30), ("round", history.round_records(rounds(rows), rows(*RATES)), 22)):
+        records, index = records.cache(), history.History(spark, kind)
+        index.add(records.where("batch_no = 0"))
+        began = jobs()
+        index.add(records.where("batch_no = 1"))
+        index.drop()
+        assert jobs() - began <= most
